@@ -130,7 +130,11 @@ def regression_fill(df: DataFrame, column: str, inputs: list[str], train: DataFr
 
 
 def target_encoding(df: DataFrame, column: str, target: str, fold: Column, smooth: float = 20.0) -> DataFrame:
-    """Mean target per category over the *other* folds, pulled to the mean of those folds."""
+    """Mean target per category over the *other* folds, pulled to the mean of those folds.
+
+    With ``smooth=0`` it is the out-of-fold group mean, and the overall mean for a group that no other
+    fold has. One aggregation per (category, fold); no loop over folds.
+    """
     parts = df.groupBy(F.col(column).alias("_c"), fold.alias("_f")).agg(
         F.sum(target).alias("s"), F.count(target).alias("n"))
     category = parts.groupBy(F.col("_c").alias("_cc")).agg(F.sum("s").alias("cs"), F.sum("n").alias("cn"))
@@ -143,6 +147,6 @@ def target_encoding(df: DataFrame, column: str, target: str, fold: Column, smoot
         prior = F.when(F.col("_f") == f, value) if prior is None else prior.when(F.col("_f") == f, value)
     others_s, others_n = F.col("cs") - F.coalesce("s", F.lit(0.0)), F.col("cn") - F.col("n")
     table = parts.join(category, F.col("_c").eqNullSafe(F.col("_cc"))).select(
-        "_c", "_f", ((others_s + smooth * prior) / (others_n + smooth)).alias(f"{column}_encoded"))
+        "_c", "_f", F.coalesce(F.try_divide(others_s + smooth * prior, others_n + smooth), prior).alias(f"{column}_encoded"))
     joined = df.withColumn("_fold", fold).join(table, F.col(column).eqNullSafe(F.col("_c")) & (F.col("_fold") == F.col("_f")), "left")
     return joined.drop("_c", "_f", "_fold")

@@ -17,6 +17,23 @@ def line_fit(train: DataFrame, x: str, y: str) -> tuple[float, float]:
     return row["b"], row["a"]
 
 
+def line_fits_out_of_fold(train: DataFrame, x: str, y: str, fold: str, folds: int) -> dict[int, tuple[float, float]]:
+    """Least-squares line per fold, fitted on the other folds; all of them in one aggregate."""
+    def other(f: int, c: str) -> Column:
+        return F.when(F.col(fold) != f, F.col(c))
+
+    row = train.agg(*[a for f in range(folds) for a in (
+        F.regr_slope(other(f, y), other(f, x)).alias(f"b{f}"), F.regr_intercept(other(f, y), other(f, x)).alias(f"a{f}"))]).first()
+    return {f: (row[f"b{f}"], row[f"a{f}"]) for f in range(folds)}
+
+
+def line_out_of_fold(fits: dict[int, tuple[float, float]], x: str, fold: str) -> Column:
+    out = None
+    for f, fit in fits.items():
+        out = F.when(F.col(fold) == f, line(fit, x)) if out is None else out.when(F.col(fold) == f, line(fit, x))
+    return out
+
+
 def line(fit: tuple[float, float], x: str) -> Column:
     return F.lit(fit[0]) * F.col(x) + F.lit(fit[1])
 

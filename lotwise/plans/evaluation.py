@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions.numbers import invert_log
 from lotwise.operators import evaluate as E, models as M
+from lotwise.operators.encode import target_encoding
 from lotwise.operators.prices import segment
 from lotwise.operators.profiling import null_profile
 from lotwise.operators.quantiles import quantile_table
@@ -200,12 +201,10 @@ SELECT listing_id, fold, round(ols, 6) AS ols, round(group_mean, 6) AS group_mea
 def weighted_blend(spark, sf_dir):
     train, _ = _parts(spark, sf_dir)
     train = train.select("listing_id", "car_age", "make_name_cleaned", "price_log", fold(F.col("listing_id")).alias("fold"))
-    oof = None
-    for f in range(5):
-        rest, held = train.where(F.col("fold") != f), train.where(F.col("fold") == f)
-        part = M.group_mean(rest, held, "make_name_cleaned", "price_log", "group_mean")
-        part = part.withColumn("ols", M.line(M.line_fit(rest, "car_age", "price_log"), "car_age"))
-        oof = part if oof is None else oof.unionByName(part)
+    fits = M.line_fits_out_of_fold(train, "car_age", "price_log", "fold", 5)
+    oof = target_encoding(train, "make_name_cleaned", "price_log", F.col("fold"), smooth=0.0)
+    oof = oof.select("listing_id", "fold", "price_log", F.col("make_name_cleaned_encoded").alias("group_mean"),
+                     M.line_out_of_fold(fits, "car_age", "fold").alias("ols"))
     err = oof.agg(*[F.sqrt(F.avg(F.pow(F.col("price_log") - F.col(m), 2))).alias(m) for m in ("ols", "group_mean")]).first()
     blend = M.weighted_blend({m: F.col(m) for m in ("ols", "group_mean")}, err.asDict())
     return rounded(oof.select("listing_id", "fold", "ols", "group_mean", blend.alias("blend")))

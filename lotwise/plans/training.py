@@ -1 +1,150 @@
-"""."""
+"""Training, selection, stacking and explanation queries (checked by row counts and by invariants in tests)."""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+
+from lotwise.operators import explain as X, models as M, stacking, training as T
+from lotwise.operators.encode import select_slots
+from lotwise.operators.features import FEATURES, NUMERIC_FEATURES, TARGET
+from lotwise.plans import sqltext as S
+from lotwise.plans.common import builder, feature_table
+from lotwise.plans.registry import plan, rounded
+from lotwise.sources.listings import listings
+
+
+def data(spark, sf_dir, **kw) -> T.TrainingData:
+    return T.prepare(listings(spark, sf_dir), builder(), **kw)
+
+
+@plan("baseline_learners")
+def baseline_learners(spark, sf_dir):
+    d = data(spark, sf_dir)
+    return T.baseline_table(spark, d.train, d.test, ["linear", "tree", "forest", "boosting"])
+
+
+@plan("rf_importance")
+def rf_importance(spark, sf_dir):
+    d = data(spark, sf_dir)
+    return T.top_importances(T.importances(spark, T.learner("forest").fit(d.train), d.encoder.names), 30)
+
+
+@plan("median_selection")
+def median_selection(spark, sf_dir):
+    d = data(spark, sf_dir)
+    table = T.importances(spark, T.learner("forest").fit(d.train), d.encoder.names)
+    kept = [r["name"] for r in T.select_by_median(table).collect()]
+    test = select_slots(d.test, d.encoder.names, kept)
+    from pyspark.ml.functions import vector_to_array
+
+    return test.select("listing_id", F.size(vector_to_array("selected")).alias("slots"))
+
+
+@plan("cv_scores")
+def cv_scores(spark, sf_dir):
+    d = data(spark, sf_dir)
+    names = d.encoder.names
+    forest = T.learner("forest", features="selected", numTrees=10, maxDepth=6)
+    first = T.learner("forest", numTrees=10, maxDepth=6).fit(d.train)
+    kept = [r["name"] for r in T.select_by_median(T.importances(spark, first, names)).collect()]
+    train = select_slots(d.train, names, kept)
+    return T.score_summary(T.fold_scores(spark, train, {"forest": forest, "linear": T.learner("linear", features="selected")}))
+
+
+@plan("hyper_search")
+def hyper_search(spark, sf_dir):
+    d = data(spark, sf_dir, text=["fuel_type_cleaned", "make_name_cleaned"])
+    grid = {"maxDepth": [4, 6, 8], "minInstancesPerNode": [1, 5], "maxBins": [16, 32]}
+    return T.search_table(spark, T.search(d.train, T.learner("tree"), grid, tries=4))
+
+
+@plan("linear_coefficients")
+def linear_coefficients(spark, sf_dir):
+    d = data(spark, sf_dir)
+    return T.coefficients(spark, T.learner("linear").fit(d.train), d.encoder.names)
+
+
+@plan("recursive_elimination")
+def recursive_elimination(spark, sf_dir):
+    d = data(spark, sf_dir)
+    rounds = T.eliminate(d.train, d.encoder.names, numTrees=10, maxDepth=6)
+    return spark.createDataFrame([(n, r2) for n, r2, _ in rounds], "slots int, r2 double")
+
+
+@plan("principal_components")
+def principal_components(spark, sf_dir):
+    d = data(spark, sf_dir, text=["fuel_type_cleaned", "transmission_cleaned"])
+    from pyspark.ml.functions import vector_to_array
+
+    rows, _ = T.principal_components(d.test.unionByName(d.train.drop("fold"), allowMissingColumns=True), 5)
+    return rows.select("listing_id", *[F.round(F.abs(vector_to_array("components")[i]), 4).alias(f"component_{i + 1}") for i in range(5)])
+
+
+_INPUTS = ["car_age", "car_age_squared", "mileage_num", "mileage_log", "engine_size_cc_num", "horse_power_num", "torque_num",
+           "acceleration_num", "seats_num"]
+_VAR = [c for c in NUMERIC_FEATURES if c != "annual_insurance"]
+
+
+@plan("low_variance", f"WITH {S.FEATURES} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, round(var_pop({c}), 4) AS variance, var_pop({c}) <= 0.001 AS low FROM features" for c in _VAR))
+def low_variance(spark, sf_dir):
+    df = feature_table(spark, sf_dir).agg(*[F.var_pop(c).alias(c) for c in _VAR])
+    out = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("variance")) for c in _VAR])))
+    return rounded(out.withColumn("low", F.col("variance") <= 0.001), 4)
+
+
+@plan("collinear_columns")
+def collinear_columns(spark, sf_dir):
+    df = feature_table(spark, sf_dir).select(*_INPUTS)
+    corr = T.correlation_matrix(df, _INPUTS)
+    dropped, vif = T.collinear(corr, _INPUTS), T.inflation(corr, _INPUTS)
+    rows = [(c, round(vif[c], 6), c in dropped, vif[c] > 10) for c in _INPUTS]
+    return spark.createDataFrame(rows, "column_name string, vif double, drop_by_correlation boolean, drop_by_vif boolean")
+
+
+def _learners():
+    return {"linear": T.learner("linear"), "forest": T.learner("forest", numTrees=10, maxDepth=6)}
+
+
+@plan("stacked_scores")
+def stacked_scores(spark, sf_dir):
+    d = data(spark, sf_dir)
+    stack = stacking.fit_stack(d.train, _learners())
+    out = stack.transform(d.test)
+    return rounded(out.select("listing_id", TARGET, "p_linear", "p_forest", "prediction"), 4)
+
+
+def _forest(spark, sf_dir):
+    d = data(spark, sf_dir, text=["fuel_type_cleaned", "transmission_cleaned", "make_name_cleaned", "condition_clean"])
+    model = T.learner("forest", numTrees=10, maxDepth=6).fit(d.train)
+    return d, PipelineModel([*d.encoder.pipeline.stages, model])
+
+
+_EXPLAINED = [f for f in FEATURES if f not in ("model_name_cleaned", "make_model_cleaned", "drive_type_cleaned", "usage_type_clean", "body_type_cleaned")]
+
+
+@plan("shapley_sampled")
+def shapley_sampled(spark, sf_dir):
+    d, model = _forest(spark, sf_dir)
+    out = X.shapley(d.test, _EXPLAINED, model.transform, background_df=d.train)
+    return rounded(out, 6)
+
+
+@plan("shapley_importance")
+def shapley_importance(spark, sf_dir):
+    d, model = _forest(spark, sf_dir)
+    return rounded(M.global_importance(X.shapley(d.test, _EXPLAINED, model.transform, background_df=d.train)), 6)
+
+
+@plan("shapley_dependence")
+def shapley_dependence(spark, sf_dir):
+    d, model = _forest(spark, sf_dir)
+    values = d.test.select("listing_id", "car_age")
+    return rounded(M.dependence(X.shapley(d.test, _EXPLAINED, model.transform, background_df=d.train), values, "car_age"), 6)
+
+
+@plan("permutation_importance")
+def permutation_importance(spark, sf_dir):
+    d, model = _forest(spark, sf_dir)
+    return rounded(X.permutation_importance(d.test, _EXPLAINED, model.transform, TARGET), 6)
