@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# plain decimal or scientific notation, nothing else: '12d', 'inf', 'NaN' and '1,200' are not numbers
-NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# the cast reads '12d', '0x1p3', 'inf' and 'NaN' as numbers; a number has no letter but the exponent's
+NOT_A_NUMBER = r"[a-df-zA-DF-Z]"
 EPS = 1e-6
 HASH_SEED = 42
 
@@ -21,7 +21,7 @@ def to_number(c: Column, dtype: str = "string") -> Column:
         return finite(c.cast("double"))
     if dtype != "string":
         return c.cast("double")
-    return finite(F.when(c.rlike(NUMBER_PATTERN), c).try_cast("double"))
+    return finite(F.when(~c.rlike(NOT_A_NUMBER), c).try_cast("double"))
 
 
 def zero_to_null(c: Column) -> Column:

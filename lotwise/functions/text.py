@@ -9,9 +9,13 @@ from pyspark.sql import Column, functions as F
 from lotwise.functions.vocabulary import NA_TOKENS, PLACEHOLDERS
 
 
+# every character that counts as white space in Unicode text
+WHITE_SPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
+
 def strip(c: Column) -> Column:
-    """Drop white space of any kind on both ends (SQL trim takes spaces only)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Drop white space of any kind on both ends (plain SQL trim takes spaces only)."""
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def strip_lower(c: Column) -> Column:

@@ -22,13 +22,11 @@ def clean_categories(df: DataFrame, columns: list[str] | None = None) -> DataFra
 
 def map_synonyms(value: Column, mapping: dict[str, str]) -> Column:
     """Exact-match replacement; other values pass through."""
-    by_target: dict[str, list[str]] = {}
-    for raw, canonical in mapping.items():
-        by_target.setdefault(canonical, []).append(raw)
-    out = None
-    for canonical, raws in by_target.items():
-        out = F.when(value.isin(raws), canonical) if out is None else out.when(value.isin(raws), canonical)
-    return value if out is None else out.otherwise(value)
+    if not mapping:
+        return value
+    # a constant map stays one small lookup, where a chain of conditions would swell the generated code
+    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    return F.coalesce(table[value], value)
 
 
 def vocabulary_table(spark: SparkSession, vocabulary: dict[str, dict[str, str]] | None = None) -> DataFrame:
@@ -66,10 +64,7 @@ def usage_clean(value: Column) -> Column:
 
 def condition_rank(value: Column) -> Column:
     """Ordinal scale for grades and adjectives; NULL where the word says nothing about condition."""
-    out = None
-    for word, rank in V.CONDITION_RANK.items():
-        out = F.when(value == word, rank) if out is None else out.when(value == word, rank)
-    return out
+    return F.create_map(*[F.lit(x) for pair in V.CONDITION_RANK.items() for x in pair])[value]
 
 
 def origin_type(source: Column, usage: Column, by_source: dict[str, str]) -> Column:

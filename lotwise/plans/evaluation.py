@@ -148,18 +148,18 @@ def _compared(spark, sf_dir):
     return E.compare_models(base, {**scored, "failed": None})
 
 
-@plan("model_comparison", f"""{_SCORED} SELECT listing_id, {", ".join(c if c != "mileage_num" else c for c in _CONTEXT)}, round(actual, 2) AS actual,
+@plan("model_comparison", f"""{_SCORED} SELECT listing_id, {", ".join(c if c != "mileage_num" else c for c in _CONTEXT)}, round(actual, 5) AS actual,
   round(ols, 2) AS ols_prediction, round(group_mean, 2) AS group_mean_prediction, round(median, 2) AS median_prediction,
   CAST(NULL AS DOUBLE) AS failed_prediction FROM scored""")
 def model_comparison(spark, sf_dir):
-    return rounded(_compared(spark, sf_dir), 2)
+    return rounded(_compared(spark, sf_dir), 2, actual=5)
 
 
 @plan("predictions_long", f"""{_SCORED}, x AS (SELECT listing_id, actual, ols AS ols_prediction, group_mean AS group_mean_prediction, median AS median_prediction FROM scored)
-SELECT listing_id, 'actual' AS model, round(actual, 2) AS price FROM x UNION ALL SELECT listing_id, 'ols_prediction', round(ols_prediction, 2) FROM x
-UNION ALL SELECT listing_id, 'group_mean_prediction', round(group_mean_prediction, 2) FROM x UNION ALL SELECT listing_id, 'median_prediction', round(median_prediction, 2) FROM x""")
+SELECT listing_id, 'actual' AS model, round(actual, 5) AS price FROM x UNION ALL SELECT listing_id, 'ols_prediction', round(ols_prediction, 5) FROM x
+UNION ALL SELECT listing_id, 'group_mean_prediction', round(group_mean_prediction, 5) FROM x UNION ALL SELECT listing_id, 'median_prediction', round(median_prediction, 5) FROM x""")
 def predictions_long(spark, sf_dir):
-    return rounded(E.predictions_long(_compared(spark, sf_dir).drop("failed_prediction")), 2)
+    return rounded(E.predictions_long(_compared(spark, sf_dir).drop("failed_prediction")), 5)
 
 
 @plan("comparison_nulls", f"{_SCORED} SELECT 'ols_prediction' AS column_name, 'double' AS column_type, count(*) AS row_count, count(ols) AS non_null, "
@@ -170,11 +170,11 @@ def comparison_nulls(spark, sf_dir):
 
 
 # the compatible inverse ends one unit above the exact one
-@plan("inverse_variants", f"""{_SCORED} SELECT listing_id, round(exp(price_log) - 1, 2) AS price, round(exp(price_log), 2) AS price_compatible FROM test""")
+@plan("inverse_variants", f"""{_SCORED} SELECT listing_id, round(exp(price_log) - 1, 5) AS price, round(exp(price_log), 5) AS price_compatible FROM test""")
 def inverse_variants(spark, sf_dir):
     _, test = _parts(spark, sf_dir)
     return rounded(test.select("listing_id", invert_log(F.col("price_log")).alias("price"),
-                               invert_log(F.col("price_log"), "exp").alias("price_compatible")), 2)
+                               invert_log(F.col("price_log"), "exp").alias("price_compatible")), 5)
 
 
 @plan("linear_contributions", f"""{_SCORED}, m AS (SELECT avg(car_age) AS mean_age FROM train)

@@ -60,11 +60,11 @@ _FILLS = ", ".join(f"CASE WHEN {c} IS NULL THEN '{n}' END" for n, c in (
 f AS (SELECT *, coalesce(horse_power, 100) AS hp, coalesce(torque, 150) AS tq, concat_ws(',', {_FILLS}) AS filled FROM derived)
 SELECT listing_id, filled, hp AS horse_power_num, tq AS torque_num, coalesce(acceleration_num, 12.0) AS acceleration_num, coalesce(seats_num, 5) AS seats_num,
   round(coalesce(horse_power_log, ln(1 + hp)), 6) AS horse_power_log, round(coalesce(torque_log, ln(1 + tq)), 6) AS torque_log,
-  round(CASE WHEN cc <> 0 THEN hp / cc ELSE 0 END, 6) AS power_per_cc, round(CASE WHEN cc <> 0 THEN m / cc ELSE 0 END, 6) AS mileage_per_cc FROM f""")
+  round(CASE WHEN cc <> 0 THEN hp / cc ELSE 0 END, 9) AS power_per_cc, round(CASE WHEN cc <> 0 THEN m / cc ELSE 0 END, 9) AS mileage_per_cc FROM f""")
 def request_features(spark, sf_dir):
     out = Q.preprocess(requests(spark, sf_dir))
     names = [*REQUEST_DEFAULTS, "horse_power_log", "torque_log", "power_per_cc", "mileage_per_cc"]
-    return rounded(out.select("listing_id", F.array_join("filled", ",").alias("filled"), *names))
+    return rounded(out.select("listing_id", F.array_join("filled", ",").alias("filled"), *names), 6, power_per_cc=9, mileage_per_cc=9)
 
 
 def _rule(name: str, expr: str, required: bool, low=None, high=None) -> list[str]:

@@ -15,9 +15,12 @@ def local_session(cpus: str | int | None = None, app: str = "lotwise", memory: s
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # larger generated methods are never compiled by the JVM; split them instead
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

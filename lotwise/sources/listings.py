@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lotwise.sources.tables import stream, table
+from lotwise.sources.tables import spread, stream, table
 
 PARTS_USED = 200
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 
 # ---- fixed values: raw words of the categorical columns, picked by key modulo (length + 1) --------
 RAW_WORDS = {
@@ -82,9 +83,17 @@ def from_orders(orders: DataFrame, part: DataFrame, customer: DataFrame | None =
     return rows.select(*[c.alias(n) for n, c in columns.items()])
 
 
+_plans: dict[tuple, DataFrame] = {}
+
+
 def listings(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
-    customer = table(spark, sf_dir, "customer") if with_source else None
-    return from_orders(table(spark, sf_dir, "orders"), table(spark, sf_dir, "part"), customer)
+    """The listings of a folder. The plan is built once per session; nothing is cached but the plan."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, with_source)
+    if key not in _plans:
+        customer = table(spark, sf_dir, "customer") if with_source else None
+        orders = spread(table(spark, sf_dir, "orders").select(*ORDER_COLUMNS))
+        _plans[key] = from_orders(orders, table(spark, sf_dir, "part"), customer)
+    return _plans[key]
 
 
 def listing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
