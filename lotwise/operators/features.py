@@ -7,8 +7,10 @@ is a small record that batch scoring, streaming and training share; ``transform`
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lotwise.functions import vocabulary as V
@@ -167,10 +169,13 @@ class FeatureBuilder:
         inputs = numeric_inputs(df, opt)
         if "year" in inputs:
             inputs["year"] = F.when(inputs["year"] > OLDEST_YEAR, inputs["year"])
-        found = medians(df, inputs, rows=rows, method=opt.median_method) if inputs else {}
+        # two independent jobs over the same rows; they run side by side
+        with ThreadPoolExecutor(1) as pool:
+            kept_job = pool.submit(inheritable_thread_target(df.sparkSession)(self._kept), df, rows)
+            found = medians(df, inputs, rows=rows, method=opt.median_method) if inputs else {}
+            kept = kept_job.result()
         if "year" in inputs and found["year"] is None:
             found["year"] = float(opt.as_of_year - 10)
-        kept = self._kept(df, rows)
         return FeatureStats(opt, rows, found, kept.get("make_name"), kept.get("model_name"))
 
     def _kept(self, df: DataFrame, rows: int) -> dict[str, list[str]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from lotwise.operators import explain as X, models as M, stacking, training as T
+from lotwise.operators import explain as X, models as M, neighbours as N, stacking, training as T
 from lotwise.operators.encode import select_slots
 from lotwise.operators.features import FEATURES, NUMERIC_FEATURES, TARGET
 from lotwise.plans import sqltext as S
@@ -148,3 +148,24 @@ def shapley_dependence(spark, sf_dir):
 def permutation_importance(spark, sf_dir):
     d, model = _forest(spark, sf_dir)
     return rounded(X.permutation_importance(d.test, _EXPLAINED, model.transform, TARGET), 6)
+
+
+def _scaled_parts(spark, sf_dir):
+    from lotwise.operators.encode import scale_stats, scaled
+    from lotwise.operators.split import train_test
+
+    df = feature_table(spark, sf_dir).select("listing_id", TARGET, *_NEAR)
+    train, test = train_test(df)
+    stats = scale_stats(train, _NEAR, mean_filled=[])
+    cut = lambda d: d.select("listing_id", TARGET, *[scaled(c, *stats[c], False).alias(c) for c in _NEAR])
+    return cut(train), cut(test)
+
+
+_NEAR = ["car_age", "engine_size_cc_log", "horse_power_log"]
+
+
+@plan("knn_price")
+def knn_price(spark, sf_dir):
+    train, test = _scaled_parts(spark, sf_dir)
+    out = N.knn_predict(train, test, _NEAR, TARGET, k=5)
+    return rounded(out.select("listing_id", TARGET, "predicted"), 6)
