@@ -113,14 +113,17 @@ def bootstrap_r2(spark, sf_dir):
 
 
 # expected price range per make from training rows, checked against the mean prediction on test rows
-@plan("golden_ranges", f"""{_SCORED},
+_CHECKED = f"""{_SCORED},
 expected AS (SELECT make_name_cleaned AS case_id, CASE WHEN count(*) >= 20 THEN avg(exp(price_log) - 1) * 0.2 END AS min_price,
   CASE WHEN count(*) >= 20 THEN avg(exp(price_log) - 1) * 0.5 END AS max_price FROM train GROUP BY 1),
-predicted AS (SELECT make_name_cleaned AS case_id, avg(group_mean) AS predicted_price FROM scored GROUP BY 1)
-SELECT case_id, round(min_price, 2) AS min_price, round(max_price, 2) AS max_price, round(predicted_price, 2) AS predicted_price,
-  CASE WHEN predicted_price IS NULL THEN 'ERROR' WHEN min_price IS NULL OR max_price IS NULL THEN 'CHECK MANUALLY'
+predicted AS (SELECT make_name_cleaned AS case_id, avg(group_mean) AS predicted_price FROM scored GROUP BY 1),
+checked AS (SELECT case_id, min_price, max_price, predicted_price, CASE WHEN predicted_price IS NULL THEN 'ERROR' WHEN min_price IS NULL OR max_price IS NULL THEN 'CHECK MANUALLY'
        WHEN predicted_price BETWEEN min_price AND max_price THEN 'PASSED' ELSE 'FAILED' END AS status
-FROM expected LEFT JOIN predicted USING (case_id)""")
+FROM expected LEFT JOIN predicted USING (case_id))"""
+
+
+@plan("golden_ranges", f"""{_CHECKED} SELECT case_id, round(min_price, 2) AS min_price, round(max_price, 2) AS max_price,
+  round(predicted_price, 2) AS predicted_price, status FROM checked""")
 def golden_ranges(spark, sf_dir):
     return rounded(_checked(spark, sf_dir), 2)
 
@@ -136,7 +139,9 @@ def _checked(spark, sf_dir):
     return E.range_check(predicted, expected)
 
 
-@plan("golden_summary")
+@plan("golden_summary", f"""{_CHECKED} SELECT count(*) FILTER (WHERE status = 'PASSED') AS passed, count(*) FILTER (WHERE status = 'FAILED') AS failed,
+  count(*) FILTER (WHERE status = 'ERROR') AS error, count(*) FILTER (WHERE status = 'CHECK MANUALLY') AS check_manually,
+  bool_and(status NOT IN ('FAILED', 'ERROR')) AS all_passed FROM checked""")
 def golden_summary(spark, sf_dir):
     return E.all_passed(_checked(spark, sf_dir))
 
