@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lotwise.functions.vocabulary import RUNTIME_MISSING
 from lotwise.operators.features import NUMERIC_FEATURES, TEXT_FEATURES
+from lotwise.operators.lookups import written_lookup
+from lotwise.sources.scratch import materialize
 
 NUMERIC_TYPES = ("double", "float", "bigint", "int", "smallint", "tinyint")
 INSURANCE = "annual_insurance"
@@ -135,8 +137,8 @@ def target_encoding(df: DataFrame, column: str, target: str, fold: Column, smoot
     With ``smooth=0`` it is the out-of-fold group mean, and the overall mean for a group that no other
     fold has. One aggregation per (category, fold); no loop over folds.
     """
-    parts = df.groupBy(F.col(column).alias("_c"), fold.alias("_f")).agg(
-        F.sum(target).alias("s"), F.count(target).alias("n"))
+    parts = materialize(df.groupBy(F.col(column).alias("_c"), fold.alias("_f")).agg(
+        F.sum(target).alias("s"), F.count(target).alias("n")), "fold-sums")
     category = parts.groupBy(F.col("_c").alias("_cc")).agg(F.sum("s").alias("cs"), F.sum("n").alias("cn"))
     # at most one row per fold
     per_fold = {r["_f"]: (r["s"], r["n"]) for r in parts.groupBy("_f").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()}
@@ -148,5 +150,6 @@ def target_encoding(df: DataFrame, column: str, target: str, fold: Column, smoot
     others_s, others_n = F.col("cs") - F.coalesce("s", F.lit(0.0)), F.col("cn") - F.col("n")
     table = parts.join(category, F.col("_c").eqNullSafe(F.col("_cc"))).select(
         "_c", "_f", F.coalesce(F.try_divide(others_s + smooth * prior, others_n + smooth), prior).alias(f"{column}_encoded"))
-    joined = df.withColumn("_fold", fold).join(table, F.col(column).eqNullSafe(F.col("_c")) & (F.col("_fold") == F.col("_f")), "left")
+    _, side = written_lookup(table, "fold-means")
+    joined = df.withColumn("_fold", fold).join(side, F.col(column).eqNullSafe(F.col("_c")) & (F.col("_fold") == F.col("_f")), "left")
     return joined.drop("_c", "_f", "_fold")

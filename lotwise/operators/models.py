@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lotwise.operators.lookups import written_lookup
 from lotwise.operators.quantiles import medians
 
 
@@ -40,10 +41,11 @@ def line(fit: tuple[float, float], x: str) -> Column:
 
 def group_mean(train: DataFrame, test: DataFrame, by: str, target: str, out: str = "predicted") -> DataFrame:
     """Mean target of the row's group in training; the overall mean for groups not seen there."""
-    table = train.groupBy(F.col(by).alias("_g")).agg(F.avg(target).alias("_m"))
-    overall = train.agg(F.avg(target)).first()[0]
-    joined = test.join(table, F.col(by).eqNullSafe(F.col("_g")), "left")
-    return joined.withColumn(out, F.coalesce("_m", F.lit(overall))).drop("_g", "_m")
+    sums = train.groupBy(F.col(by).alias("_g")).agg(F.sum(target).alias("_s"), F.count(target).alias("_n"))
+    written, side = written_lookup(sums, "group-sums")
+    overall = written.agg(F.try_divide(F.sum("_s"), F.sum("_n"))).first()[0]
+    joined = test.join(side, F.col(by).eqNullSafe(F.col("_g")), "left")
+    return joined.withColumn(out, F.coalesce(F.try_divide("_s", "_n"), F.lit(overall))).drop("_g", "_s", "_n")
 
 
 def linear_contributions(df: DataFrame, coefficients: dict[str, float], means: dict[str, float], key: str = "listing_id") -> DataFrame:

@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lotwise.operators.lookups import written_lookup
 from lotwise.operators.quantiles import exact_quantiles, quantile_table
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -147,10 +148,11 @@ def box_summary(df: DataFrame, value: Column, by: Column | None = None, rows: in
     fences = quart.groupBy(F.col("group").alias("g")).agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{i + 1}") for i, p in enumerate(QUARTILES)
     ])
+    _, side = written_lookup(fences, "fences")
     step = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("v") >= F.col("q1") - step) & (F.col("v") <= F.col("q3") + step)
     return (
-        base.join(fences, F.col("group").eqNullSafe(F.col("g")))
+        base.join(side, F.col("group").eqNullSafe(F.col("g")))
         .groupBy("group", "q1", "q2", "q3")
         .agg(
             F.count(F.lit(1)).alias("rows"),

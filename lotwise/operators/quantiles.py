@@ -11,7 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-PERCENTILE_ROWS = 500_000
+from lotwise.operators.lookups import BROADCAST_ROWS
+from lotwise.sources.scratch import materialize
+
+PERCENTILE_ROWS = 200_000
 _FINE_BITS = 12
 _SCALE = float(2 ** 19)  # 128 coarse bins per unit of log, 4096 fine bins in each
 _LARGEST = 800.0         # above log1p of the largest double; keeps infinities castable
@@ -66,8 +69,6 @@ def _narrowed(df, columns, probs, by) -> DataFrame:
     size = F.least(F.log1p(F.abs("v")), F.lit(_LARGEST))
     long = long.withColumn("fine", F.floor(F.signum("v") * size * _SCALE).cast("bigint")) \
                .withColumn("coarse", F.shiftright("fine", _FINE_BITS))
-    # without groups there are at most len(columns) * 2 * len(probs) targets
-    small = F.broadcast if not by else (lambda d: d)
 
     counted = long.groupBy(*group, "coarse").agg(F.count(F.lit(1)).alias("c"))
     whole = Window.partitionBy(*group)
@@ -83,6 +84,9 @@ def _narrowed(df, columns, probs, by) -> DataFrame:
     )
     for outer, inner in (("coarse", "fine"), ("fine", "v")):
         keys = [*group, outer]
+        # the wanted ranks are few; written once, so that each level reads the input exactly once
+        wanted = materialize(wanted, "ranks")
+        small = F.broadcast if wanted.count() <= BROADCAST_ROWS else (lambda d: d)
         bins = _renamed(wanted.select(*keys).distinct())
         kept = long.join(small(bins), _same(keys), "left_semi")
         order = Window.partitionBy(*keys).orderBy(inner).rowsBetween(Window.unboundedPreceding, 0)

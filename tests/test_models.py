@@ -64,6 +64,11 @@ def test_metrics(spark):
     assert m["mape_nonzero"] == pytest.approx(10.0) and m["mean_ape"] == pytest.approx(10.0)
 
 
+def test_log_grid(spark):
+    grid = spark.range(1).select(V.log_grid(-2, 2, 5)).first()[0]
+    assert grid == pytest.approx([0.01, 0.1, 1.0, 10.0, 100.0])
+
+
 def test_bootstrap_weights(spark):
     w = spark.range(2000).select(F.explode(F.sequence(F.lit(1), F.lit(50))).alias("r"), "id")
     s = w.select(V.poisson_weight(F.col("id"), F.col("r").cast("bigint")).alias("w")).agg(F.avg("w"), F.var_pop("w")).first()
