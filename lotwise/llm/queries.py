@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from lotwise.sources.tables import table
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotwise.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).taken().select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lotwise.llm.packing import pack, tokenizer_path
 
@@ -16,6 +22,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix_sources": op1_mix_sources,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 SQL: dict[str, str] = {}
