@@ -136,7 +136,8 @@ class Mix:
         start, end = F.col("start"), F.col("start") + F.col("size")
         blocks = F.when(F.col("size") > 0, F.sequence(F.floor(start / b).cast("long"), F.floor((end - 1) / b).cast("long")))
         parts = self.rows.withColumn("block", F.explode(F.coalesce(blocks, F.array(-1 - F.col("row_in_bucket").cast("long")))))
-        joined = parts.join(self.draws().drop("source"), ["source_key", "block"], "left")
+        # the draws come from a small table, but there are as many as blocks: never broadcast them
+        joined = parts.join(self.draws().drop("source").hint("merge"), ["source_key", "block"], "left")
         low = F.greatest(start, F.col("block") * b)
         high = F.least(end, F.col("block") * b + F.coalesce(F.col("block_taken"), F.lit(0)))
         return joined.withColumns({"from_word": low - start, "words": F.greatest(high - low, F.lit(0)).cast("long")})
