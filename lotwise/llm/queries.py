@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lotwise.sources.tables import table
 
@@ -15,6 +15,15 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).taken().select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotwise.llm.toxicity import fit, held_out, score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    out = score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "toxicity.score", "toxicity.matches")
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "matches")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lotwise.llm.packing import pack, tokenizer_path
 
@@ -23,6 +32,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op5_toxicity": op5_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 SQL: dict[str, str] = {}
