@@ -15,6 +15,12 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).taken().select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotwise.llm.secrets import digest, scan
+
+    return digest(scan(table(spark, sf_dir, "documents")))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lotwise.llm.toxicity import fit, held_out, score
 
@@ -32,6 +38,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
