@@ -36,10 +36,17 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotwise.llm.ngram_join import similar_groups
+
+    return similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_ngram_join": op10_ngram_join,
 }
 SQL: dict[str, str] = {}
