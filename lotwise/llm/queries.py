@@ -15,6 +15,19 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).taken().select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotwise.llm.nearest import nearest
+
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest(rows, F.col("vec_id") % 100 == 0)
+
+
+def op3_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotwise.llm.vector_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lotwise.llm.secrets import digest, scan
 
@@ -44,6 +57,8 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_nearest": op2_nearest,
+    "op3_vector_dedup": op3_vector_dedup,
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
