@@ -43,6 +43,15 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "matches")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotwise.llm.langid import fit, held_out, identify
+
+    docs = table(spark, sf_dir, "documents")
+    out = identify(docs.select("doc_id", "text"), fit(docs), with_spans=False)
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("language.lang").alias("lang_pred"),
+                      "language.score", "language.n_spans")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lotwise.llm.packing import pack, tokenizer_path
 
@@ -61,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_vector_dedup": op3_vector_dedup,
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
+    "op8_language": op8_language,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_ngram_join": op10_ngram_join,
 }
