@@ -43,6 +43,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "matches")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotwise.llm.licenses import scan
+
+    out = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    return out.select("doc_id", *[f"licence.{n}" for n in names])
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lotwise.llm.langid import fit, held_out, identify
 
@@ -70,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_vector_dedup": op3_vector_dedup,
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
+    "op6_licenses": op6_licenses,
     "op8_language": op8_language,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_ngram_join": op10_ngram_join,
