@@ -51,6 +51,16 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[f"licence.{n}" for n in names])
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotwise.llm.pii import pseudonymize
+
+    out = pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), key="lotwise")
+    count = lambda kind: F.size(F.filter("entities", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    one = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    return out.select("doc_id", "text", *[count(k) for k in ("email", "phone", "ip", "card", "account", "ssn", "iban")],
+                      F.array_join(F.transform("entities", one), ",").alias("spans"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lotwise.llm.langid import fit, held_out, identify
 
@@ -79,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
     "op6_licenses": op6_licenses,
+    "op7_pii": op7_pii,
     "op8_language": op8_language,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_ngram_join": op10_ngram_join,

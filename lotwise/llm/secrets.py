@@ -28,10 +28,10 @@ EXAMPLE_OWNERS = 3
 MIN_VARIETY = 0.3
 
 
-def _located(text: Column, pattern: str, kind: str) -> Column:
+def located(text: Column, pattern: str, kind: str, hint: str | None = None) -> Column:
     """Spans (kind, start, end, value) of all matches in code points, from the text's split at them.
 
-    The gaps and the matches alternate, so a running sum of their lengths gives each place.
+    Only texts that match ``hint``, by default the pattern, are split. The gaps and the matches alternate, so a running sum of their lengths gives each place.
     """
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     both = F.arrays_zip(gaps.alias("gap"), found.alias("hit"))
@@ -44,7 +44,7 @@ def _located(text: Column, pattern: str, kind: str) -> Column:
         return F.struct(F.coalesce(end, start).alias("at"),
                         F.when(one["hit"].isNull(), acc["spans"]).otherwise(F.concat(acc["spans"], F.array(span))).alias("spans"))
 
-    return F.when(text.rlike(pattern), F.aggregate(both, zero, step, lambda acc: acc["spans"])).otherwise(zero["spans"])
+    return F.when(text.rlike(hint or pattern), F.aggregate(both, zero, step, lambda acc: acc["spans"])).otherwise(zero["spans"])
 
 
 def _in_order(spans: Column) -> Column:
@@ -66,8 +66,8 @@ def base_spans(text: Column) -> Column:
     asking for the length in the pattern finds the same ones.
     """
     text = F.coalesce(text, F.lit(""))
-    assign = F.filter(_located(text, ASSIGN, "assign"), lambda s: s["value"].rlike(f"^{ASSIGN_KEPT}$"))
-    return _in_order(F.concat(assign, _located(text, ACCESS, "access"), _located(text, HEX, "hex")))
+    assign = F.filter(located(text, ASSIGN, "assign"), lambda s: s["value"].rlike(f"^{ASSIGN_KEPT}$"))
+    return _in_order(F.concat(assign, located(text, ACCESS, "access"), located(text, HEX, "hex")))
 
 
 def secret_value(span: Column) -> Column:
@@ -100,7 +100,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", exa
                        F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repository"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = rows.select("doc_id", "row_key", "owner", "repository",
-                       base_spans(F.col("text")).alias("base"), _located(F.col("text"), EXTRA, "live").alias("others"))
+                       base_spans(F.col("text")).alias("base"), located(F.col("text"), EXTRA, "live").alias("others"))
     crossing = lambda s: F.exists(F.col("base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     rows = rows.withColumn("others", F.filter("others", lambda s: ~crossing(s)))
     rows = materialize(rows, "secret_spans")
