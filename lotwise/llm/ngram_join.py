@@ -21,6 +21,10 @@ from lotwise.sources.scratch import materialize
 FRAGMENTS = 48
 HEAD = 3
 COUNTED = 8
+#: Sets of this size or more need so many equal beginnings with others to be candidates.
+SMALL_SET = 32
+LEAST_HEADS = 3
+BITMAP_BITS = 1 << 23
 PERCENT = 80
 
 
@@ -77,11 +81,18 @@ def _overlapping(pairs: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def _segments_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set_key, fragment, grams) of the wanted sets, from the text of one document each."""
+    """(set_key, fragment, grams) of the wanted sets, from the text of one document each.
+
+    A bitmap of the texts' hashes, never over a megabyte of bits, is broadcast and keeps most other texts
+    out of the shuffle; what passes is matched exactly.
+    """
     holders = sets.join(wanted, "set_key", "left_semi").groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("h"))
-    holders = holders.select(_row_name(F.col("h.doc_id"), F.col("h.text_key")).alias("_name")).distinct()
-    rows = docs.select(_row_name(F.col("doc_id"), text_key()).alias("_name"), F.col("text").cast("string").alias("text"))
-    texts = rows.join(holders, "_name", "left_semi").select("text")
+    holders = materialize(holders.select(_row_name(F.col("h.doc_id"), F.col("h.text_key")).alias("_name"), F.col("h.text_key")).distinct(), "holders")
+    word, bit = F.floor(F.pmod("text_key", F.lit(BITMAP_BITS)) / 64), F.pmod("text_key", F.lit(64)).cast("int")
+    bitmap = holders.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    rows = docs.select(_row_name(F.col("doc_id"), text_key()).alias("_name"), text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
+    rows = rows.join(F.broadcast(bitmap), word == F.col("_word")).where(F.call_function("getbit", F.col("_bits"), bit) == 1)
+    texts = rows.join(holders.select("_name"), "_name", "left_semi").select("text")
     schema = pa.schema([("set_key", pa.binary()), ("fragment", pa.int32()), ("grams", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,6 +111,30 @@ def _segments_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFra
     return materialize(found.dropDuplicates(["set_key", "fragment"]), "segments")
 
 
+def _rare_meetings(segments: DataFrame, placed: DataFrame) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of different components whose sets share one of their rarest n-grams.
+
+    Of n n-grams, in order of the documents that have them, the first ``n - ceil(0.8 n) + 1`` of both sets of
+    a link share one. N-grams of one document come first and meet nobody, so only the others are ranked.
+    """
+    grams = segments.join(placed.select("set_key"), "set_key", "left_semi").select("set_key", F.explode("grams").alias("gram"))
+    often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    shared = materialize(grams.join(often, "gram"), "shared_grams")
+    counts = shared.groupBy("set_key").agg(F.count(F.lit(1)).alias("n_shared"))
+    needed = F.col("n") - F.ceil(F.lit(PERCENT) * F.col("n") / 100) + 1
+    left = placed.join(counts, "set_key").withColumn("ranked", (needed - (F.col("n") - F.col("n_shared"))).cast("int")).where("ranked > 0")
+    order = F.array_sort(F.collect_list(F.struct("holders", "gram")))
+    lists = shared.join(left.select("set_key"), "set_key", "left_semi").groupBy("set_key").agg(order.alias("by_rarity"))
+    rare = left.join(lists, "set_key").select("set_key", "n", "component", F.explode(F.slice("by_rarity", F.lit(1), F.col("ranked"))).alias("g"))
+    rare = rare.select(F.col("g.gram").alias("gram"), "set_key", "n", "component")
+    split = rare.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("gram")
+    rare = materialize(rare.join(split, "gram"), "rare_grams")
+    one = rare.select("gram", F.col("set_key").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("_c"))
+    two = rare.select("gram", F.col("set_key").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("_d"))
+    pairs = one.join(two, "gram").where((F.col("a") < F.col("b")) & (F.col("_c") != F.col("_d")) & _similar_sizes("n_a", "n_b"))
+    return pairs.select("a", "b", "n_a", "n_b").distinct()
+
+
 def _row_name(doc_id: Column, key: Column) -> Column:
     return F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("null")), F.hex(key))
 
@@ -112,11 +147,11 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     null if it has none. Repeated rows stay as many rows.
 
     Equal sets are one vertex. Pairs are never listed within a group: each vertex is first compared with
-    the most connected vertex of each of its buckets. What that leaves in different components, and only
-    that, is compared pair by pair, which loses no link that could join two components.
+    the most connected vertex of each of its buckets. Vertices that still have buckets with other components
+    are then matched across components by their rarest n-grams, which loses no link that could join two.
 
-    Two sets with a Jaccard of 0.8 miss each other in a fragment of 3 or more n-grams with a chance of 0.49,
-    in all 48 with one of 1e-15; smaller sets have more equal segments than they have differences.
+    Two sets with a Jaccard of 0.8 begin alike in a fragment of 3 or more n-grams with a chance of 0.51, so
+    the chance of fewer than 3 of 48 is 1e-12; smaller sets have more equal segments than differences.
     """
     sets = materialize(gram_sets(docs), "gram_sets")
     vertices = sets.where("set_key is not null").groupBy("set_key").agg(
@@ -131,18 +166,19 @@ def similar_groups(docs: DataFrame) -> DataFrame:
         F.when(F.col("set_key") < F.col("c.set_key"), F.col("n")).otherwise(F.col("c.n")).alias("n_a"),
         F.when(F.col("set_key") < F.col("c.set_key"), F.col("c.n")).otherwise(F.col("n")).alias("n_b"))
     star = materialize(star.where((F.col("a") != F.col("b")) & _similar_sizes("n_a", "n_b")).distinct(), "star_pairs")
-    segments = _segments_of(docs, sets, bucketed.select("set_key").distinct())
+
+    known = F.col("heads") >= F.when(F.col("n") >= SMALL_SET, LEAST_HEADS).otherwise(1)
+    candidates = bucketed.groupBy("set_key").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("heads")).where(known)
+    segments = _segments_of(docs, sets, candidates.select("set_key"))
     links = materialize(_overlapping(star, segments), "star_links")
     joined = components(links)
 
     placed = bucketed.join(joined.withColumnRenamed("node", "set_key"), "set_key", "left")
     placed = placed.withColumn("component", F.coalesce("component", "set_key"))
     split = placed.groupBy("head").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("head")
-    placed = materialize(placed.join(split, "head").select("head", "set_key", "n", "component"), "split_buckets")
-    one = placed.select("head", F.col("set_key").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("_c"))
-    two = placed.select("head", F.col("set_key").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("_d"))
-    rest = one.join(two, "head").where((F.col("a") < F.col("b")) & (F.col("_c") != F.col("_d")) & _similar_sizes("n_a", "n_b"))
-    rest = rest.select("a", "b", "n_a", "n_b").distinct().join(star.select("a", "b"), ["a", "b"], "left_anti")
+    open_sets = placed.join(split, "head").groupBy("set_key", "component").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("heads"))
+    open_sets = materialize(open_sets.where(known), "open_sets")
+    rest = _rare_meetings(segments, open_sets).join(star.select("a", "b"), ["a", "b"], "left_anti")
     more = materialize(_overlapping(materialize(rest, "rest_pairs"), segments), "rest_links")
     joined = components(links.unionByName(more)) if more.take(1) else joined
 
