@@ -57,6 +57,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, recall: float = TARG
                            "vec_id", "vector", "j")
     queries = coded.where("is_query").select(F.col("vec_id").alias("query_id"), "vector").dropDuplicates(["query_id", "vector"])
     queries = queries.withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
+    queries = queries.repartition(math.ceil(n_queries / 64), "query_id")  # few rows, but much work for each
     visits = queries.mapInArrow(_visits(index, filled, blocks, wanted),
                                 "query_id long, query_key long, query_block int, vector array<double>, i int, block int, js array<int>")
     keys = ["i", "block", "query_block"]
