@@ -20,7 +20,7 @@ from lotwise.sources.scratch import materialize
 SAMPLE_ROWS = 20000
 SLOTS = 1 << 16
 PENALTY = 8.0
-CHUNK_CHARS = 4 << 20
+CHUNK_CHARS = 2 << 20
 #: Longer texts are decoded in stretches of so many words, each by itself.
 STRETCH = 4096
 HELD_OUT = (4, 2)
