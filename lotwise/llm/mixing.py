@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lotwise.llm.rows import content_key, of, packed, unpacked
 from lotwise.sources.scratch import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -153,25 +154,16 @@ class Mix:
 
         ``text`` is what the round takes, white space between words kept; ``n_chars`` follows it.
         """
-        docs = self.docs
-        names = docs.columns
         per = self.parts().where("words > 0").groupBy("source_key", "bucket", "row_in_bucket", "doc_id", "size", "row_key", "round").agg(
-            F.array_sort(F.collect_list(F.struct("from_word", "words"))).alias("_ranges"), F.sum("words").alias("_words"))
-        per = per.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), F.col("size").alias("_size"), "_ranges", "_words")
-        whole = docs.withColumn("_key", row_key(docs)).dropDuplicates(["doc_id", "_key"])
-        joined = whole.join(per, F.col("doc_id").eqNullSafe(F.col("_id")) & (whole["_key"] == per["_key"]))
-        words = F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))
-        cut = F.transform(F.array(words), lambda w: F.array_join(F.transform(F.col("_ranges"), lambda r: F.array_join(
+            F.array_sort(F.collect_list(F.struct("from_word", "words"))).alias("ranges"), F.sum("words").alias("taken"))
+        per = per.select("doc_id", "row_key", "size", "ranges", "taken")
+        whole = packed(self.docs).withColumns({"id": of("doc_id"), "key": content_key(self.docs)}).dropDuplicates(["id", "key"])
+        joined = whole.join(per, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("row_key")))
+        words = F.regexp_extract_all(of("text"), F.lit(SPACED_WORD), F.lit(0))
+        cut = F.transform(F.array(words), lambda w: F.array_join(F.transform(F.col("ranges"), lambda r: F.array_join(
             F.slice(w, (r["from_word"] + 1).cast("int"), r["words"].cast("int")), "")), ""))[0]
-        text = F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(F.regexp_replace(cut, r"^[\x20\x09-\x0D]+", ""))
-        out = joined.withColumn("text", text)
-        if "n_chars" in names:
-            out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-        return out.select(*names)
-
-
-def row_key(docs: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+        text = F.when(F.col("taken") == F.col("size"), of("text")).otherwise(F.regexp_replace(cut, r"^[\x20\x09-\x0D]+", ""))
+        return unpacked(joined, self.docs, {"text": text})
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, limit: float = 2.0,
@@ -183,10 +175,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: fl
     side by side. An empty table gives an empty mix. No document is taken more than ``limit`` times when
     that is a whole number. The offsets in a source are sums of bucket sums, never one sort of a source.
     """
-    key = row_key(docs)
     buckets = max(1, math.ceil(docs.count() / BUCKET_ROWS))
-    sized = materialize(docs.select(
-        F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), key.alias("row_key"),
+    sized = materialize(packed(docs).select(
+        of("doc_id").alias("doc_id"), of("source").cast("string").alias("source"), word_count(of("text")).alias("size"), content_key(docs).alias("row_key"),
     ).withColumns({"source_key": source_key(F.col("source")), "bucket": F.pmod(F.xxhash64("row_key"), F.lit(buckets))}), "sized")
     sums = sized.groupBy("source_key", "bucket").agg(F.first("source").alias("source"), F.sum("size").alias("bucket_size"))
     sizes = sums.groupBy("source_key").agg(F.first("source").alias("source"), F.sum("bucket_size").alias("source_size"))

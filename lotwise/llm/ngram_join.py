@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lotwise.llm.graph import components
+from lotwise.llm.rows import of, packed, unpacked
 from lotwise.llm.shingles import mixed, shingle_sets
 from lotwise.sources.scratch import materialize
 
@@ -57,12 +58,12 @@ def gram_sets(docs: DataFrame, fragments: int = FRAGMENTS, head: int = HEAD) ->
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
                                    pa.array(heads, pa.list_(pa.int64()))], names=["doc_id", "text_key", "n_shingles", "set_key", "heads"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_key binary, heads array<long>")
 
 
-def text_key() -> Column:
-    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def _similar_sizes(a: str, b: str) -> Column:
@@ -90,7 +91,7 @@ def _segments_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFra
     holders = materialize(holders.select(_row_name(F.col("h.doc_id"), F.col("h.text_key")).alias("_name"), F.col("h.text_key")).distinct(), "holders")
     word, bit = F.floor(F.pmod("text_key", F.lit(BITMAP_BITS)) / 64), F.pmod("text_key", F.lit(64)).cast("int")
     bitmap = holders.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
-    rows = docs.select(_row_name(F.col("doc_id"), text_key()).alias("_name"), text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(_row_name(F.col("doc_id"), text_key(F.col("text"))).alias("_name"), text_key(F.col("text")).alias("text_key"), F.col("text").cast("string").alias("text"))
     rows = rows.join(F.broadcast(bitmap), word == F.col("_word")).where(F.call_function("getbit", F.col("_bits"), bit) == 1)
     texts = rows.join(holders.select("_name"), "_name", "left_semi").select("text")
     schema = pa.schema([("set_key", pa.binary()), ("fragment", pa.int32()), ("grams", pa.list_(pa.int64()))])
@@ -200,5 +201,5 @@ def similar_groups(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group: that of the smallest id; rows without words stay once per id."""
     kept = similar_groups(docs).where("first").select(_row_name(F.col("doc_id"), F.col("text_key")).alias("_name")).distinct()
-    named = docs.withColumn("_name", _row_name(F.col("doc_id"), text_key()))
-    return named.join(kept, "_name", "left_semi").dropDuplicates(["_name"]).select(*docs.columns)
+    named = packed(docs).withColumn("_name", _row_name(of("doc_id"), text_key(of("text"))))
+    return unpacked(named.join(kept, "_name", "left_semi").dropDuplicates(["_name"]), docs, {})

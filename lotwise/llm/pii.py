@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lotwise.llm.rows import of, packed, unpacked
 from lotwise.llm.secrets import located
 from lotwise.sources.scratch import materialize
 
@@ -200,34 +201,26 @@ def surrogates(forms: DataFrame, key: str) -> DataFrame:
 def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with entities replaced, and ``entities``, the array of (kind, start, end) in the old text.
 
-    ``n_chars`` follows the text. Null texts stay null and have no entities; repeated rows change alike. Rows
+    A column of that name gives way; ``n_chars`` follows the text. Null texts stay null and have no entities; repeated rows change alike. Rows
     without an entity skip the join with the surrogates, which is by row and not by text.
     """
-    names = docs.columns
-    possible = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
-    row_key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    kinds = "array<struct<kind:string,start:int,end:int>>"
-    spans = docs.where(possible).select(F.col("doc_id").alias("_id"), row_key.alias("_key"), entities(F.col("text")).alias("spans"))
-    spans = materialize(spans.where(F.size("spans") > 0), "entities")
-    mentions = spans.select("_id", "_key", F.explode("spans").alias("s")).select(
-        "_id", "_key", "s", F.col("s.kind").alias("kind"), normal_form(F.col("s.kind"), F.col("s.value")).alias("norm"))
+    rows, text = packed(docs), of("text")
+    possible = F.coalesce(text.rlike(HINT), F.lit(False))
+    keyed = rows.where(possible).withColumns({"id": of("doc_id"), "key": F.xxhash64(text)})
+    spans = materialize(keyed.select("id", "key", entities(text).alias("spans")).where(F.size("spans") > 0), "entities")
+    mentions = spans.select("id", "key", F.explode("spans").alias("s")).select(
+        "id", "key", "s", F.col("s.kind").alias("kind"), normal_form(F.col("s.kind"), F.col("s.value")).alias("norm"))
     mapped = surrogates(mentions.groupBy("kind", "norm").agg(F.count(F.lit(1)).alias("n")).select("kind", "norm"), key)
     # a form may stand in a third of the rows: equal rows count once here, and the join splits what is left
     done = mentions.distinct().join(mapped, ["kind", "norm"]).select(
-        "_id", "_key", F.struct(F.col("s.start").alias("start"), F.col("s.end").alias("end"), "kind",
-                                _in_format(F.col("kind"), F.col("surrogate"), F.col("s.value")).alias("put")).alias("p"))
-    done = done.groupBy("_id", "_key").agg(F.array_sort(F.collect_list("p")).alias("_puts"))
-    some = docs.where(possible).withColumn("_row", row_key)
-    some = some.join(done, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key")), "left")
-    text = F.col("text")
-    new = F.aggregate("_puts", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, p: F.struct(
+        "id", "key", F.struct(F.col("s.start").alias("start"), F.col("s.end").alias("end"), "kind",
+                              _in_format(F.col("kind"), F.col("surrogate"), F.col("s.value")).alias("put")).alias("p"))
+    done = done.groupBy(F.col("id").alias("of_id"), F.col("key").alias("of_key")).agg(F.array_sort(F.collect_list("p")).alias("puts"))
+    some = keyed.join(done, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key")), "left")
+    new = F.aggregate("puts", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, p: F.struct(
         p["end"].alias("at"), F.concat(acc["out"], F.substr(text, acc["at"] + 1, p["start"] - acc["at"]), p["put"]).alias("out")),
         lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
-    places = F.transform("_puts", lambda p: F.struct(p["kind"].alias("kind"), p["start"].alias("start"), p["end"].alias("end")))
-    some = some.withColumns({"text": F.when(F.col("_puts").isNull(), text).otherwise(new),
-                             "entities": F.coalesce(places, F.array().cast(kinds))})
-    if "n_chars" in names:
-        some = some.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    rest = docs.where(~possible).withColumn("entities", F.array().cast(kinds))
-    kept = [n for n in names if n != "entities"]
-    return some.select(*kept, "entities").unionByName(rest.select(*kept, "entities"))
+    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+    places = F.transform("puts", lambda p: F.struct(p["kind"].alias("kind"), p["start"].alias("start"), p["end"].alias("end")))
+    changed = unpacked(some, docs, {"text": F.when(F.col("puts").isNull(), text).otherwise(new), "entities": F.coalesce(places, none)})
+    return changed.unionByName(unpacked(rows.where(~possible), docs, {"entities": none}))

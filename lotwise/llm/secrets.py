@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lotwise.llm.rows import of, packed, unpacked
 from lotwise.sources.scratch import materialize
 
 # ---- fixed values: the patterns of the base kinds, in the order in which kinds are listed ----
@@ -80,10 +81,9 @@ def _variety(value: Column) -> Column:
     return F.size(F.array_distinct(F.split(value, ""))) / F.least(F.length(value), F.lit(32))
 
 
-def _row_key(owner: str, repository: str) -> Column:
-    """With the doc_id, what tells rows apart whose spans may differ."""
-    as_text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    return F.xxhash64(as_text(owner), as_text(repository), as_text("text"))
+def _row_key(*values: Column) -> Column:
+    """With the doc_id, what tells rows apart whose spans may differ: owner, repository and text."""
+    return F.xxhash64(*[F.coalesce(v.cast("string"), F.lit("")) for v in values])
 
 
 def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
@@ -95,7 +95,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", exa
     empty; null owners and repositories each count as one. Repeated rows give equal rows, and no row is
     lost or added. Other columns of ``docs`` are left out. ``live_places`` are where live credentials stand.
     """
-    rows = docs.select(F.col("doc_id"), _row_key(owner, repository).alias("row_key"),
+    rows = docs.select(F.col("doc_id"), _row_key(F.col(owner), F.col(repository), F.col("text")).alias("row_key"),
                        F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
                        F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repository"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -145,21 +145,18 @@ def redact(docs: DataFrame, mask: str = "[secret]", owner: str = "source", repos
 
     ``n_chars`` follows. Only rows in which some pattern occurs are joined with their spans.
     """
-    names = docs.columns
     places = scan(docs, owner, repository).where(F.size("live_places") > 0).dropDuplicates(["doc_id", "row_key"]).select(
-        F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), F.col("live_places").alias("_places"))
-    possible = F.coalesce(F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}|{EXTRA}"), F.lit(False))
-    some = docs.where(possible).withColumn("_row", _row_key(owner, repository))
-    some = some.join(places, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key")), "left")
-    text = F.col("text")
+        "doc_id", "row_key", "live_places")
+    rows, text = packed(docs), of("text")
+    possible = F.coalesce(text.rlike(f"{ASSIGN}|{ACCESS}|{HEX}|{EXTRA}"), F.lit(False))
+    some = rows.where(possible).withColumns({"id": of("doc_id"), "key": _row_key(of(owner), of(repository), text)})
+    some = some.join(places, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("row_key")), "left")
 
     def step(acc: Column, one: Column) -> Column:
         more = F.concat(acc["out"], F.substr(text, acc["at"] + 1, one["start"] - acc["at"]), F.lit(mask))
         return F.struct(F.greatest(acc["at"], one["end"]).alias("at"), F.when(one["start"] >= acc["at"], more).otherwise(acc["out"]).alias("out"))
 
-    masked = F.aggregate("_places", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
+    masked = F.aggregate("live_places", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                          lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
-    some = some.withColumn("text", F.when(F.col("_places").isNull(), text).otherwise(masked))
-    if "n_chars" in names:
-        some = some.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return some.select(*names).unionByName(docs.where(~possible))
+    changed = unpacked(some, docs, {"text": F.when(F.col("live_places").isNull(), text).otherwise(masked)})
+    return changed.unionByName(unpacked(rows.where(~possible), docs, {}))
