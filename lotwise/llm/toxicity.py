@@ -186,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         if not any(found.get(s, -1.0) >= weight - 1.0 for s in shorter):
             terms[term] = max(weight, terms.get(term, 0.0))
     model = Model(terms)
-    rows = sample.mapInArrow(_weights_of(model), "toxic int, total double, words long").collect()
+    rows = sorted(sample.mapInArrow(_weights_of(model), "toxic int, total double, words long").collect())  # the same sums on every run
     x = np.array([[1.0, *features(r["total"], r["words"])] for r in rows])
     y = np.array([float(r["toxic"] == 1) for r in rows])
     model.curve = tuple(float(v) for v in _logistic(x, y))
