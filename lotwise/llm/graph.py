@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.sources.scratch import materialize
@@ -41,3 +42,20 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 def _state(links: DataFrame) -> tuple:
     row = links.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
     return row["n"], row["s"]
+
+
+def hang(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest vertex of each component after adding edges (a, b), within one block."""
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        before = root.copy()
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        while True:
+            short = root[root]
+            if (short == root).all():
+                break
+            root = short
+        if (root == before).all():
+            break
+    return root

@@ -11,21 +11,26 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lotwise.llm.graph import components
+from lotwise.llm.graph import components, hang
 from lotwise.llm.rows import of, packed, unpacked
 from lotwise.llm.shingles import mixed, shingle_sets
 from lotwise.sources.scratch import materialize
 
 FRAGMENTS = 48
 HEAD = 3
-COUNTED = 8
+COUNTED = 4
 #: Sets of this size or more need so many equal beginnings with others to be candidates.
 SMALL_SET = 32
 LEAST_HEADS = 3
 BITMAP_BITS = 1 << 23
+#: N-grams of more holders than this are compared in blocks of so many sets and n-grams.
+FEW_HOLDERS = 8
+BLOCK = 256
+FRAGMENT_COLUMNS = 4096
 PERCENT = 80
 
 
@@ -112,28 +117,80 @@ def _segments_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFra
     return materialize(found.dropDuplicates(["set_key", "fragment"]), "segments")
 
 
-def _rare_meetings(segments: DataFrame, placed: DataFrame) -> DataFrame:
-    """Pairs (a, b, n_a, n_b) of different components whose sets share one of their rarest n-grams.
+def _links_across(segments: DataFrame, placed: DataFrame) -> DataFrame:
+    """Links (a, b) that join different components, from sets that share one of their rarest n-grams.
 
-    Of n n-grams, in order of the documents that have them, the first ``n - ceil(0.8 n) + 1`` of both sets of
-    a link share one. N-grams of one document come first and meet nobody, so only the others are ranked.
+    Only n-grams held by two components can join them. Of n n-grams, by rising number of such holders, the
+    first ``n - ceil(0.8 n) + 1`` of both sets of a link share one; n-grams within a component come first
+    and meet nobody. If those are ``own``, a link has ``own_a + own_b <= (n_a + n_b) / 9``, so one of its
+    sets has at most a ninth of its own: sets with more never meet each other.
+
+    N-grams of a few holders give pairs. Sets that share others, as families of half-similar texts do, are
+    compared in blocks that give out a root for each linked set, never pairs.
     """
-    grams = segments.join(placed.select("set_key"), "set_key", "left_semi").select("set_key", F.explode("grams").alias("gram"))
-    often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
-    shared = materialize(grams.join(often, "gram"), "shared_grams")
-    counts = shared.groupBy("set_key").agg(F.count(F.lit(1)).alias("n_shared"))
+    placed = placed.select("set_key", "n", F.xxhash64("set_key").alias("id"), F.xxhash64("component").alias("place"))
+    grams = segments.join(placed, "set_key").select("id", "place", F.explode("grams").alias("gram"))
+    held = grams.groupBy("gram").agg(F.min("place").alias("lo"), F.max("place").alias("hi"), F.count(F.lit(1)).alias("holders"))
+    cross = materialize(grams.join(held.where("lo <> hi").select("gram", "holders"), "gram").select("id", "holders", "gram"), "cross_grams")
+    counts = cross.groupBy("id").agg(F.count(F.lit(1)).alias("n_cross"))
     needed = F.col("n") - F.ceil(F.lit(PERCENT) * F.col("n") / 100) + 1
-    left = placed.join(counts, "set_key").withColumn("ranked", (needed - (F.col("n") - F.col("n_shared"))).cast("int")).where("ranked > 0")
+    left = placed.join(counts, "id").withColumns({"own": F.col("n") - F.col("n_cross"), "ranked": (needed - F.col("n") + F.col("n_cross")).cast("int")})
+    left = materialize(left.where("ranked > 0"), "open_ranks")
     order = F.array_sort(F.collect_list(F.struct("holders", "gram")))
-    lists = shared.join(left.select("set_key"), "set_key", "left_semi").groupBy("set_key").agg(order.alias("by_rarity"))
-    rare = left.join(lists, "set_key").select("set_key", "n", "component", F.explode(F.slice("by_rarity", F.lit(1), F.col("ranked"))).alias("g"))
-    rare = rare.select(F.col("g.gram").alias("gram"), "set_key", "n", "component")
-    split = rare.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("gram")
-    rare = materialize(rare.join(split, "gram"), "rare_grams")
-    one = rare.select("gram", F.col("set_key").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("_c"))
-    two = rare.select("gram", F.col("set_key").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("_d"))
-    pairs = one.join(two, "gram").where((F.col("a") < F.col("b")) & (F.col("_c") != F.col("_d")) & _similar_sizes("n_a", "n_b"))
-    return pairs.select("a", "b", "n_a", "n_b").distinct()
+    lists = cross.join(left.select("id"), "id", "left_semi").groupBy("id").agg(order.alias("by_rarity"))
+    lists = materialize(left.join(lists, "id"), "gram_lists")
+    rare = lists.select("set_key", "n", "own", "place", F.explode(F.slice("by_rarity", F.lit(1), F.col("ranked"))).alias("g"))
+    rare = rare.select(F.col("g.gram").alias("gram"), "set_key", "n", "own", "place")
+    clean = 9 * F.col("own") <= F.col("n")
+    held = rare.groupBy("gram").agg(F.count(F.lit(1)).alias("members"), F.min("set_key").alias("least"))
+    rare = materialize(rare.join(held.where("members > 1"), "gram").withColumn("clean", clean), "rare_grams")
+
+    few = rare.where(F.col("members") <= FEW_HOLDERS)
+    one = few.where("clean").select("gram", F.col("set_key").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"), F.col("place").alias("place_a"))
+    two = few.select("gram", F.col("set_key").alias("b"), F.col("n").alias("n_b"), F.col("own").alias("own_b"), F.col("place").alias("place_b"), "clean")
+    may = (F.col("place_a") != F.col("place_b")) & (~F.col("clean") | (F.col("a") < F.col("b"))) & _similar_sizes("n_a", "n_b")
+    pairs = one.join(two, "gram").where(may & (9 * (F.col("own_a") + F.col("own_b")) <= F.col("n_a") + F.col("n_b")))
+    pairs = materialize(pairs.select("a", "b", "n_a", "n_b").distinct(), "rare_pairs")
+    alone = _overlapping(pairs, segments)
+
+    many = rare.where((F.col("members") > FEW_HOLDERS) & (F.col("set_key") != F.col("least")))
+    family = components(many.select(F.col("set_key").alias("a"), F.col("least").alias("b")))
+    family = family.select(F.col("node").alias("set_key"), F.col("component").alias("family"))
+    sizes = family.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    members = lists.join(family, "set_key").join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = members.select("family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "set_key", "n", "own", "place",
+                             F.transform("by_rarity", lambda g: g["gram"]).alias("grams"))
+    blocks = members.groupBy("family", "low", "high").applyInPandas(_linked_in_block, "a binary, b binary")
+    return alone.unionByName(blocks)
+
+
+def _linked_in_block(rows: pd.DataFrame) -> pd.DataFrame:
+    """(set, root) for the sets of a block pair that link across components.
+
+    Overlaps are products of 0/1 matrices, one for each fragment of the n-gram order, and add up.
+    """
+    rows = rows.sort_values("set_key").reset_index(drop=True)
+    n, own, place = (rows[c].to_numpy() for c in ("n", "own", "place"))
+    sizes = rows["grams"].map(len).to_numpy()
+    names, column, holders = np.unique(np.concatenate(rows["grams"].to_list()), return_inverse=True, return_counts=True)
+    owner, shared = np.repeat(np.arange(len(rows)), sizes), np.cumsum(holders > 1) - 1
+    kept = holders[column] > 1
+    owner, column = owner[kept], shared[column[kept]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    overlap = np.zeros((len(rows), len(rows)), dtype=np.float32)
+    for low in range(0, int((holders > 1).sum()), FRAGMENT_COLUMNS):
+        at = slice(*np.searchsorted(column, [low, low + FRAGMENT_COLUMNS]))
+        part = np.zeros((len(rows), FRAGMENT_COLUMNS), dtype=np.float32)
+        part[owner[at], column[at] - low] = 1
+        overlap += part @ part.T
+    linked = (100 * overlap >= PERCENT * (n[:, None] + n[None] - overlap)) & (place[:, None] != place[None])
+    a, b = np.nonzero(np.triu(linked, 1))
+    root = hang(np.arange(len(rows)), a, b)
+    used = np.unique(np.concatenate([a, b]))
+    keys = rows["set_key"].to_numpy()
+    return pd.DataFrame({"a": keys[used], "b": keys[root[used]]})
 
 
 def _row_name(doc_id: Column, key: Column) -> Column:
@@ -149,7 +206,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
 
     Equal sets are one vertex. Pairs are never listed within a group: each vertex is first compared with
     the most connected vertex of each of its buckets. Vertices that still have buckets with other components
-    are then matched across components by their rarest n-grams, which loses no link that could join two.
+    are then matched across components by their rarest n-grams, which loses no link that joins two.
 
     Two sets with a Jaccard of 0.8 begin alike in a fragment of 3 or more n-grams with a chance of 0.51, so
     the chance of fewer than 3 of 48 is 1e-12; smaller sets have more equal segments than differences.
@@ -166,9 +223,9 @@ def similar_groups(docs: DataFrame) -> DataFrame:
         F.least("set_key", "c.set_key").alias("a"), F.greatest("set_key", "c.set_key").alias("b"),
         F.when(F.col("set_key") < F.col("c.set_key"), F.col("n")).otherwise(F.col("c.n")).alias("n_a"),
         F.when(F.col("set_key") < F.col("c.set_key"), F.col("c.n")).otherwise(F.col("n")).alias("n_b"))
-    star = materialize(star.where((F.col("a") != F.col("b")) & _similar_sizes("n_a", "n_b")).distinct(), "star_pairs")
-
+    star = star.where((F.col("a") != F.col("b")) & _similar_sizes("n_a", "n_b")).groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("heads"))
     known = F.col("heads") >= F.when(F.col("n") >= SMALL_SET, LEAST_HEADS).otherwise(1)
+    star = materialize(star.withColumn("n", F.least("n_a", "n_b")).where(known).drop("n", "heads"), "star_pairs")
     candidates = bucketed.groupBy("set_key").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("heads")).where(known)
     segments = _segments_of(docs, sets, candidates.select("set_key"))
     links = materialize(_overlapping(star, segments), "star_links")
@@ -179,8 +236,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     split = placed.groupBy("head").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("head")
     open_sets = placed.join(split, "head").groupBy("set_key", "component").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("heads"))
     open_sets = materialize(open_sets.where(known), "open_sets")
-    rest = _rare_meetings(segments, open_sets).join(star.select("a", "b"), ["a", "b"], "left_anti")
-    more = materialize(_overlapping(materialize(rest, "rest_pairs"), segments), "rest_links")
+    more = materialize(_links_across(segments, open_sets), "links_across")
     joined = components(links.unionByName(more)) if more.take(1) else joined
 
     group = F.coalesce("component", "set_key")

@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lotwise.llm.graph import components
+from lotwise.llm.graph import components, hang
 from lotwise.llm.multi_index import MultiIndex, main_size, matrix, sample, traverse, unit, usable
 from lotwise.sources.scratch import materialize
 
@@ -136,28 +136,11 @@ def _count_links(left: pd.DataFrame, right: pd.DataFrame, threshold: float) -> p
             np.add.at(counts, x_at[p], y_copies[q])
             alone = ~(y_visits[q] == x_cell[p][:, None]).any(1)
             np.add.at(counts, y_at[q[alone]], x_copies[p[alone]])
-            root = _hang(root, x_at[p], y_at[q])
+            root = hang(root, x_at[p], y_at[q])
     used = np.flatnonzero(counts)
     return pd.DataFrame({"node": names[used], "root": names[root[used]], "links": counts[used]})
 
 
-def _hang(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest vertex of each component after adding edges (a, b)."""
-    while len(a):
-        low = np.minimum(root[a], root[b])
-        before = root.copy()
-        np.minimum.at(root, root[a], low)
-        np.minimum.at(root, root[b], low)
-        while True:
-            short = root[root]
-            if (short == root).all():
-                break
-            root = short
-        if (root == before).all():
-            break
-    return root
-
-
 def _cells_to_visit(vertices: DataFrame, index: MultiIndex, threshold: float, recall: float) -> int:
     """Cells that reach the wanted share of the trial vectors' links, all found by comparing with every vector."""
     trial = vertices.select("node", "label", "vector").orderBy(F.xxhash64("node"), "node").limit(TRIAL_VECTORS).collect()
