@@ -98,7 +98,8 @@ def _segments_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFra
     bitmap = holders.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
     rows = docs.select(_row_name(F.col("doc_id"), text_key(F.col("text"))).alias("_name"), text_key(F.col("text")).alias("text_key"), F.col("text").cast("string").alias("text"))
     rows = rows.join(F.broadcast(bitmap), word == F.col("_word")).where(F.call_function("getbit", F.col("_bits"), bit) == 1)
-    texts = rows.join(holders.select("_name"), "_name", "left_semi").select("text")
+    # names are distinct; a semi-join would be moved below the bitmap, in front of it
+    texts = rows.join(holders.select("_name"), "_name").select("text")
     schema = pa.schema([("set_key", pa.binary()), ("fragment", pa.int32()), ("grams", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

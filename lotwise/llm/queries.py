@@ -94,4 +94,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_ngram_join": op10_ngram_join,
 }
-SQL: dict[str, str] = {}
+_COMPONENTS = """reach(id, root) AS (SELECT id, id FROM nodes UNION SELECT r.id, e.b FROM reach r JOIN edges e ON e.a = r.root)"""
+
+SQL: dict[str, str] = {
+    # all pairs of a label
+    "op3_vector_dedup": f"""WITH RECURSIVE nodes AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS v,
+    label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable FROM embeddings),
+edges AS (SELECT x.id AS a, y.id AS b FROM nodes x JOIN nodes y ON x.label = y.label AND x.id <> y.id AND x.usable AND y.usable
+  AND list_cosine_similarity(x.v, y.v) >= 0.93),
+{_COMPONENTS},
+least AS (SELECT id, min(root) AS component_id FROM reach GROUP BY 1),
+counts AS (SELECT a AS id, count(*) AS n FROM edges GROUP BY 1)
+SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept FROM least LEFT JOIN counts USING (id)""",
+    # all pairs of documents that share a shingle
+    "op10_ngram_join": rf"""WITH RECURSIVE words AS (SELECT doc_id AS id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda x: x <> '') AS w FROM documents),
+grams AS (SELECT DISTINCT id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+nodes AS (SELECT id, count(g) AS n FROM words LEFT JOIN grams USING (id) GROUP BY 1),
+shared AS (SELECT x.id AS a, y.id AS b, count(*) AS k FROM grams x JOIN grams y ON x.g = y.g AND x.id <> y.id GROUP BY 1, 2),
+edges AS (SELECT a, b FROM shared JOIN nodes p ON p.id = a JOIN nodes q ON q.id = b WHERE 100 * k >= 80 * (p.n + q.n - k)),
+{_COMPONENTS}
+SELECT id AS doc_id, n AS n_shingles, min(root) AS component_id FROM reach JOIN nodes USING (id) GROUP BY 1, 2""",
+}
