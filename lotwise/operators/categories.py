@@ -7,11 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lotwise.functions import vocabulary as V
 from lotwise.functions.text import clean_category
+from lotwise.operators.lookups import written_lookup
 
 CATEGORY_COLUMNS = ["make_name", "model_name", "fuel_type", "transmission", "drive_type", "condition",
                     "body_type", "usage_type", "source"]
 KEEP_NULL = ["condition", "usage_type"]
-VOCABULARY_BROADCAST_ROWS = 100_000
 
 
 def clean_categories(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -37,11 +37,12 @@ def vocabulary_table(spark: SparkSession, vocabulary: dict[str, dict[str, str]]
 
 
 def map_by_table(df: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
-    """Synonym mapping from an editable table; broadcast only while the table is small."""
-    small = table.limit(VOCABULARY_BROADCAST_ROWS + 1).count() <= VOCABULARY_BROADCAST_ROWS
+    """Synonym mapping from an editable table; of entries for the same word the smallest one holds."""
+    _, once = written_lookup(table.where(F.col("column_name").isin(columns)).groupBy("column_name", "raw").agg(
+        F.min("canonical").alias("canonical")), "vocabulary")
     for c in columns:
-        part = table.where(F.col("column_name") == c).select(F.col("raw").alias("_raw"), F.col("canonical").alias("_canonical"))
-        joined = df.join(F.broadcast(part) if small else part, F.col(c) == F.col("_raw"), "left")
+        part = once.where(F.col("column_name") == c).select(F.col("raw").alias("_raw"), F.col("canonical").alias("_canonical"))
+        joined = df.join(part, F.col(c) == F.col("_raw"), "left")
         df = joined.withColumn(f"{c}_cleaned", F.coalesce("_canonical", c)).drop("_raw", "_canonical")
     return df
 
@@ -79,17 +80,21 @@ def rare_threshold(rows: int, floor: int, share: float) -> int:
     return max(floor, int(rows * share))
 
 
-def kept_values(df: DataFrame, value: Column, threshold: int, inclusive: bool = False) -> list[str]:
-    """Values frequent enough to keep. With a threshold of t there are at most rows / t of them."""
+def kept_values(df: DataFrame, column: str, threshold: int, inclusive: bool = False) -> DataFrame:
+    """(_kept): the values frequent enough to keep, as a written table. There may be rows / threshold of them."""
     enough = F.col("n") > threshold if inclusive else F.col("n") >= threshold
-    counts = df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n")).where(enough)
-    return sorted(r["value"] for r in counts.select("value").where(F.col("value").isNotNull()).collect())
+    counts = df.groupBy(F.col(column).alias("_kept")).agg(F.count(F.lit(1)).alias("n")).where(enough & F.col("_kept").isNotNull())
+    return written_lookup(counts.select("_kept"), "kept")[1]
 
 
-def group_rare(df: DataFrame, column: str, kept: list[str], label: str, out: str) -> DataFrame:
-    """Values outside the kept list become one label (the list is bounded, see ``kept_values``)."""
-    keep = df.sparkSession.createDataFrame(pa.table({"_kept": pa.array(kept, pa.string())}))
-    joined = df.join(F.broadcast(keep), F.col(column) == F.col("_kept"), "left")
+def group_rare(df: DataFrame, column: str, kept: list[str] | DataFrame, label: str, out: str) -> DataFrame:
+    """Values outside the kept ones become one label.
+
+    A list comes from a threshold that is a share of the rows, which bounds it; ``kept_values`` gives a table.
+    """
+    if isinstance(kept, list):
+        kept = F.broadcast(df.sparkSession.createDataFrame(pa.table({"_kept": pa.array(kept, pa.string())})))
+    joined = df.join(kept, F.col(column) == F.col("_kept"), "left")
     return joined.withColumn(out, F.when(F.col(column).isNull(), None).otherwise(F.coalesce("_kept", F.lit(label)))).drop("_kept")
 
 

@@ -118,17 +118,18 @@ def one_hot_wide(df: DataFrame, labels: dict[str, list[str]], keep: list[str]) -
     return df.select(*keep, *hot)
 
 
-def regression_fill(df: DataFrame, column: str, inputs: list[str], train: DataFrame | None = None) -> DataFrame:
+def regression_fill(df: DataFrame, column: str, inputs: list[str], train: DataFrame | None = None, floor: bool = False) -> DataFrame:
     """Fill NULLs of a column by a linear model of other columns, fitted on the rows that have it.
 
-    The result is never below the smallest value seen, so a positive amount stays positive.
+    With ``floor`` the result is never below the smallest value seen, so a positive amount stays positive.
     """
     train = df if train is None else train
     known = VectorAssembler(inputCols=inputs, outputCol="_x").transform(train.where(F.col(column).isNotNull()))
     model = LinearRegression(featuresCol="_x", labelCol=column, predictionCol="_p", solver="normal").fit(known)
-    low = train.agg(F.min(column)).first()[0]
     predicted = sum((F.col(c) * float(b) for c, b in zip(inputs, model.coefficients)), F.lit(float(model.intercept)))
-    return df.withColumn(column, F.coalesce(F.col(column), F.greatest(predicted, F.lit(low))))
+    if floor:
+        predicted = F.greatest(predicted, F.lit(train.agg(F.min(column)).first()[0]))
+    return df.withColumn(column, F.coalesce(F.col(column), predicted))
 
 
 def target_encoding(df: DataFrame, column: str, target: str, fold: Column, smooth: float = 20.0) -> DataFrame:

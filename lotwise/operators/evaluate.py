@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import math
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lotwise.functions.numbers import hash_unit
 from lotwise.operators.quantiles import exact_quantiles
 
 ERROR_PROBS = [0.25, 0.5, 0.75, 0.9, 0.95]
-# fixed values: cumulative Poisson(1) probabilities for 0, 1, 2, ... draws
-POISSON_1 = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676, 0.99998980]
 _PRIME = 2147483647
+#: Cumulative Poisson(1) probabilities of 0, 1, 2, ... draws, as far as the hash tells them from 1.
+POISSON_1 = list(accumulate(math.exp(-1) / math.factorial(k) for k in range(13)))
+KEY_SEED = 23
 
 
 def percent_error(actual: Column, predicted: Column) -> Column:
@@ -40,9 +45,9 @@ def metrics(df: DataFrame, actual: str = "actual", predicted: str = "predicted",
     return (df.rollup(*by) if rollup else df.groupBy(*by)).agg(*aggs)
 
 
-def error_percentiles(df: DataFrame, actual: str = "actual", predicted: str = "predicted", rows: int | None = None) -> DataFrame:
+def error_percentiles(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     ape = percent_error(F.col(actual), F.col(predicted))
-    return exact_quantiles(df, {"ape": ape}, ERROR_PROBS, rows=rows).select("prob", F.col("value").alias("ape"))
+    return exact_quantiles(df, {"ape": ape}, ERROR_PROBS).select("prob", F.col("value").alias("ape"))
 
 
 def log_grid(low: float, high: float, points: int) -> Column:
@@ -72,7 +77,7 @@ def residuals_by_price(df: DataFrame, per_decade: int = 4, actual: str = "actual
 
 def poisson_weight(key: Column, replicate: Column) -> Column:
     """Poisson(1) draw for (row, replicate) from whole-number arithmetic that any SQL engine repeats."""
-    x = F.pmod(key, F.lit(_PRIME))
+    x = hash_unit(key, KEY_SEED) % _PRIME
     x = (x * 48271 + replicate * 69621 + 12345) % _PRIME
     x = (x * x + replicate) % _PRIME
     x = (x * 16807 + 7) % _PRIME

@@ -13,38 +13,32 @@ Scorer = Callable[[DataFrame], DataFrame]  # adds a ``prediction`` column
 
 
 def shapley(df: DataFrame, features: list[str], score: Scorer, explained: int = 200, background: int = 100,
-            permutations: int = 20, key: str = "listing_id", background_df: DataFrame | None = None) -> DataFrame:
-    """Sampled Shapley values: (key, feature, contribution).
+            key: str = "listing_id", background_df: DataFrame | None = None) -> DataFrame:
+    """Sampled Shapley values: (key, feature, contribution, base).
 
-    Each explained row is paired with ``permutations`` draws of a feature order and a background row.
-    Walking the order, one feature after another changes from the background value to the row's own;
-    the change of the prediction is that feature's share. Shares of a row add up to its prediction
-    minus the mean prediction of its background draws. The two samples are fixed in number, so the work
-    is too: explained * permutations * (features + 1) scored rows.
+    Each explained row meets every background row once, with a feature order of its own. Walking the order,
+    one feature after another changes from the background value to the row's own; the change of the
+    prediction is that feature's share. Shares of a row add up to its prediction minus ``base``, the mean
+    prediction of the background, which is the same for all rows. The two samples are fixed in number, so
+    the work is too: explained * background * (features + 1) scored rows, dealt evenly to the tasks.
     """
     rows = sample_rows(df.select(key, *features), explained, key)
     ground = sample_rows((df if background_df is None else background_df).select(key, *features), background, key, seed=7)
-    order = Window.orderBy("_h", "b_key")  # over the fixed-size background sample only
-    ground = ground.select(hash_unit(F.col(key), 7).alias("_h"), F.col(key).alias("b_key"),
-                           *[F.col(f).alias(f"b_{f}") for f in features])
-    ground = ground.withColumn("b_no", F.row_number().over(order) - 1)
-    size = F.lit(min(background, ground.count()))
-    draws = rows.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
-    start = hash_unit(F.col(key), 11)
-    draws = draws.withColumn("b_no", F.pmod(start + F.col("draw"), size).cast("int"))
+    ground = ground.select(F.col(key).alias("draw"), *[F.col(f).alias(f"b_{f}") for f in features])
     ranked = F.array_sort(F.array(*[
         F.struct(F.md5(F.concat_ws(":", F.lit(f), F.col(key), F.col("draw")).cast("binary")).alias("h"), F.lit(f).alias("f"))
         for f in features]))
-    draws = draws.withColumn("order", F.transform(ranked, lambda s: s["f"]))
-    steps = draws.join(F.broadcast(ground.drop("_h", "b_key")), "b_no").withColumn(
-        "step", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
+    # both samples are of fixed size, so all their pairs are too
+    pairs = rows.join(F.broadcast(ground)).withColumn("order", F.transform(ranked, lambda s: s["f"]))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = pairs.repartition(parts, key, "draw").withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
     mixed = [F.when(F.array_position("order", f) <= F.col("step"), F.col(f)).otherwise(F.col(f"b_{f}")).alias(f) for f in features]
     added = F.when(F.col("step") > 0, F.element_at("order", F.greatest(F.col("step"), F.lit(1))))
-    hybrid = steps.select(key, "draw", "step", added.alias("feature"), *mixed)
-    scored = score(hybrid).select(key, "draw", "step", "feature", "prediction")
+    scored = score(steps.select(key, "draw", "step", added.alias("feature"), *mixed)).select(key, "draw", "step", "feature", "prediction")
     walk = Window.partitionBy(key, "draw").orderBy("step")
-    change = scored.withColumn("change", F.col("prediction") - F.lag("prediction").over(walk)).where(F.col("step") > 0)
-    return change.groupBy(key, "feature").agg(F.avg("change").alias("contribution"))
+    whole = walk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    change = scored.withColumns({"change": F.col("prediction") - F.lag("prediction").over(walk), "start": F.first("prediction").over(whole)})
+    return change.where(F.col("step") > 0).groupBy(key, "feature").agg(F.avg("change").alias("contribution"), F.avg("start").alias("base"))
 
 
 def with_donor(df: DataFrame, columns: list[str], key: str = "listing_id", rows_per_bucket: int = 50_000,

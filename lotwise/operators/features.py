@@ -163,20 +163,26 @@ class FeatureBuilder:
     def __init__(self, as_of_year: int, **options):
         self.options = FeatureOptions(as_of_year=as_of_year, **options)
 
-    def fit(self, df: DataFrame, rows: int | None = None) -> FeatureStats:
+    def fit(self, df: DataFrame, rows: int | None = None, numbers: bool = True, names: bool = True) -> FeatureStats:
+        """Medians (``numbers``) and frequent makes and models (``names``); what isn't asked for isn't computed.
+
+        Without medians missing numbers stay missing, without names all makes and models are rare.
+        """
         opt = self.options
+        if not names:
+            rows = 0
         rows = df.count() if rows is None else rows
-        inputs = numeric_inputs(df, opt)
+        inputs = numeric_inputs(df, opt) if numbers else {}
         if "year" in inputs:
             inputs["year"] = F.when(inputs["year"] > OLDEST_YEAR, inputs["year"])
         # two independent jobs over the same rows; they run side by side
         with ThreadPoolExecutor(1) as pool:
-            kept_job = pool.submit(inheritable_thread_target(df.sparkSession)(self._kept), df, rows)
-            found = medians(df, inputs, rows=rows, method=opt.median_method) if inputs else {}
+            kept_job = pool.submit(inheritable_thread_target(df.sparkSession)(self._kept), df if names else df.select(), rows)
+            found = medians(df, inputs, method=opt.median_method) if inputs else {}
             kept = kept_job.result()
         if "year" in inputs and found["year"] is None:
             found["year"] = float(opt.as_of_year - 10)
-        return FeatureStats(opt, rows, found, kept.get("make_name"), kept.get("model_name"))
+        return FeatureStats(opt, rows, found, kept.get("make_name", []), kept.get("model_name", []))
 
     def _kept(self, df: DataFrame, rows: int) -> dict[str, list[str]]:
         """Frequent makes and models from one pass over both columns."""

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from lotwise.sources.scratch import materialize
 
-BROADCAST_ROWS = 200_000
-
 
 def written_lookup(table: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
     """(the table as written once, the same table ready to join).
 
-    Broadcast only if its counted rows are few; then the large side is not shuffled on a key that may be
-    hot. A longer table joins without a hint and adaptive execution splits hot keys.
+    The files' size is known when the join is planned, so a table under the broadcast threshold is sent to
+    the rows, and of a larger one adaptive execution splits hot keys.
     """
     written = materialize(table, label)
-    return written, F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+    return written, written

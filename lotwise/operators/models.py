@@ -71,6 +71,23 @@ def dependence(contributions: DataFrame, values: DataFrame, feature: str, bins:
         F.count(F.lit(1)).alias("rows"), F.avg("v").alias("mean_value"), F.avg("contribution").alias("mean_contribution"))
 
 
+def dependence_table(contributions: DataFrame, values: DataFrame, features: list[str], bins: int = 20, key: str = "listing_id") -> DataFrame:
+    """(feature, value_from, value, rows, mean_contribution) along each feature: ranges of numbers, or single words."""
+    kinds = dict(values.dtypes)
+    words = [f for f in features if kinds[f] == "string"]
+    numbers = [f for f in features if f not in words]
+    bounds = values.agg(*[a for f in numbers for a in (F.min(f).cast("double").alias(f"lo_{f}"), F.max(f).cast("double").alias(f"hi_{f}"))]).first() if numbers else None
+    entries = [F.struct(F.lit(f).alias("feature"), F.lit(None).cast("double").alias("value_from"), F.col(f).alias("value")) for f in words]
+    for f in numbers:
+        lo, hi = bounds[f"lo_{f}"], bounds[f"hi_{f}"]
+        width = ((hi or 0.0) - (lo or 0.0)) / bins or 1.0
+        at = F.least(F.floor((F.col(f) - F.lit(lo or 0.0)) / width), F.lit(bins - 1))
+        entries.append(F.struct(F.lit(f).alias("feature"), (F.lit(lo or 0.0) + at * width).cast("double").alias("value_from"), F.lit(None).cast("string").alias("value")))
+    long = values.select(F.col(key).alias("_key"), F.inline(F.array(*entries))).withColumnRenamed("feature", "_feature")
+    pairs = contributions.join(long, (F.col(key) == F.col("_key")) & (F.col("feature") == F.col("_feature")))
+    return pairs.groupBy("feature", "value_from", "value").agg(F.count(F.lit(1)).alias("rows"), F.avg("contribution").alias("mean_contribution"))
+
+
 def weighted_blend(predictions: dict[str, Column], errors: dict[str, float]) -> Column:
     """Weighted average of predictions, weights from the inverse cross-validation error."""
     inverse = {n: 1.0 / errors[n] for n in predictions}

@@ -18,7 +18,3 @@ def align(a: DataFrame, b: DataFrame) -> DataFrame:
         .when(F.col("idx_a") == F.col("idx_b"), "same").otherwise("moved")
     )
     return left.join(right, "name", "full").withColumn("status", status)
-
-
-def missing_names(wanted: DataFrame, have: DataFrame) -> DataFrame:
-    return wanted.join(have.select("name"), "name", "left_anti")

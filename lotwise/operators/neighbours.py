@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lotwise.sources.scratch import materialize
 
 GRID_COLUMNS = 3
+#: Distances that agree to so many digits are equal.
+DIGITS = 9
 _SLACK = 1e-9  # keeps a box that touches the radius in spite of rounding
 
 
@@ -113,7 +115,7 @@ def _search(features: list[str], k: int):
                 dist = np.zeros((len(chunk), len(p)))
                 for j in range(p.shape[1]):
                     dist += (chunk[:, j, None] - p[None, :, j]) ** 2
-                dist = np.sqrt(dist)
+                dist = np.round(np.sqrt(dist), DIGITS)
                 width = min(k, len(p))
                 limit = np.partition(dist, width - 1, axis=1)[:, width - 1]
                 for i, row in enumerate(dist):

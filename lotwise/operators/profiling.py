@@ -29,7 +29,7 @@ def null_profile(df: DataFrame) -> DataFrame:
     ])
 
 
-def numeric_profile(df: DataFrame, columns: dict[str, Column], rows: int | None = None) -> DataFrame:
+def numeric_profile(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """count, mean, sample std, min, quartiles and max per numeric expression."""
     base = df.select(*[c.cast("double").alias(n) for n, c in columns.items()])
     stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
@@ -37,7 +37,7 @@ def numeric_profile(df: DataFrame, columns: dict[str, Column], rows: int | None
     moments = _rows(wide, [
         F.struct(F.lit(n).alias("column_name"), *[F.col(f"{n}__{s}").alias(s) for s in stats]) for n in columns
     ])
-    parts = exact_quantiles(base, {n: F.col(n) for n in columns}, QUARTILES, rows=rows)
+    parts = exact_quantiles(base, {n: F.col(n) for n in columns}, QUARTILES)
     parts = parts.groupBy(F.col("name").alias("column_name")).agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"p{int(p * 100)}") for p in QUARTILES
     ])
@@ -79,14 +79,14 @@ def head(df: DataFrame, key: str, n: int = 5) -> DataFrame:
     return df.orderBy(key).limit(n)
 
 
-def auto_bins(df: DataFrame, value: Column, rows: int | None = None) -> int:
+def auto_bins(df: DataFrame, value: Column) -> int:
     """Number of equal bins: the finer of the Sturges and the Freedman-Diaconis rule."""
     s = df.agg(F.count(value).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")).first()
     if not s["n"] or s["lo"] == s["hi"]:
         return 1
     span = s["hi"] - s["lo"]
     width = span / (math.log2(s["n"]) + 1)
-    q1, q3 = quantile_table(df, {"v": value}, [0.25, 0.75], rows=rows)["v"]
+    q1, q3 = quantile_table(df, {"v": value}, [0.25, 0.75])["v"]
     if q3 > q1:
         width = min(width, 2.0 * (q3 - q1) / s["n"] ** (1 / 3))
     return math.ceil(span / width)
@@ -140,11 +140,11 @@ def correlations(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     ])
 
 
-def box_summary(df: DataFrame, value: Column, by: Column | None = None, rows: int | None = None) -> DataFrame:
+def box_summary(df: DataFrame, value: Column, by: Column | None = None) -> DataFrame:
     """Quartiles, whiskers (last value within 1.5 IQR) and outlier count, overall or per group."""
     group = F.lit("all") if by is None else by
     base = df.select(group.alias("group"), value.cast("double").alias("v")).where(F.col("v").isNotNull())
-    quart = exact_quantiles(base, {"v": F.col("v")}, QUARTILES, by=("group",), rows=rows)
+    quart = exact_quantiles(base, {"v": F.col("v")}, QUARTILES, by=("group",))
     fences = quart.groupBy(F.col("group").alias("g")).agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{i + 1}") for i, p in enumerate(QUARTILES)
     ])

@@ -1,23 +1,21 @@
-"""Exact quantiles (linear interpolation, NULL ignored) that hold at any size.
+"""Exact quantiles (linear interpolation, NULL and NaN ignored), the same way at every size.
 
-``percentile`` keeps every distinct value of a group in one task, so it is used only below a checked
-row count. Above it the order statistics are found by narrowing: count rows per coarse bin of a
-monotone key, keep the bin that holds the wanted rank, count its fine bins, then its values. Every
-step is a partial aggregation, so heavy values collapse before the shuffle and no task sees more than
-one bin. Each level reads the input once.
+A mergeable sketch brackets each wanted rank; one more pass counts the rows below the bracket and the
+values inside it. Equal values collapse before the shuffle, and ranks are found on range partitions of the
+counted values, so no task sees more than its part of a bracket.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lotwise.operators.lookups import BROADCAST_ROWS
 from lotwise.sources.scratch import materialize
 
-PERCENTILE_ROWS = 200_000
-_FINE_BITS = 12
-_SCALE = float(2 ** 19)  # 128 coarse bins per unit of log, 4096 fine bins in each
-_LARGEST = 800.0         # above log1p of the largest double; keeps infinities castable
+ACCURACY = 10_000
+#: Distance of the bracket from the wanted rank, as a share of the rows: three times the sketch's error.
+MARGIN = 3e-4
+#: Below this many values the margin is under two ranks, and the bracket is everything.
+WHOLE = 10_000
 
 
 def exact_quantiles(
@@ -25,20 +23,49 @@ def exact_quantiles(
     columns: dict[str, Column],
     probs: list[float],
     by: tuple[str, ...] = (),
-    rows: int | None = None,
     method: str = "exact",
 ) -> DataFrame:
-    """One row per (by..., name, prob) with its ``value``.
+    """One row per (by..., name, prob) with its ``value``, NULL for a group without values.
 
-    ``rows`` is the row count if the caller knows it. ``method='approx'`` uses ``percentile_approx``
-    (a real data value, relative rank error 1e-4) and is opt-in.
+    An empty table has no groups and no rows. ``method='approx'`` uses ``percentile_approx`` (a real data
+    value, relative rank error 1e-4) and is opt-in.
     """
     if method == "approx":
-        return _one_pass(df, columns, probs, by, lambda c: F.percentile_approx(c, probs, 10_000))
-    rows = df.count() if rows is None else rows
-    if rows <= PERCENTILE_ROWS:
-        return _one_pass(df, columns, probs, by, lambda c: F.percentile(c, F.lit(probs)))
-    return _narrowed(df, columns, probs, by)
+        return _one_pass(df, columns, probs, by, lambda c: F.percentile_approx(c, probs, ACCURACY))
+    group = [f"g_{k}" for k in range(len(by))] + ["name"]
+    names = [F.col(c).alias(g) for c, g in zip(by, group)]
+    pairs = [F.struct(F.lit(n).alias("name"), F.nanvl(c.cast("double"), F.lit(None).cast("double")).alias("v")) for n, c in columns.items()]
+    long = df.select(*names, F.inline(F.array(*pairs)))
+    around = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-MARGIN, MARGIN)]
+    stats = long.groupBy(*group).agg(
+        F.count("v").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), F.percentile_approx("v", around, ACCURACY).alias("q"))
+    whole = F.col("n") < WHOLE
+    entries = [F.struct(F.lit(float(p)).alias("prob"), (F.lit(float(p)) * (F.col("n") - 1)).alias("rank"),
+                        F.when(whole | F.lit(p <= MARGIN), F.col("least")).otherwise(F.col("q")[2 * k]).alias("low"),
+                        F.when(whole | F.lit(p >= 1 - MARGIN), F.col("most")).otherwise(F.col("q")[2 * k + 1]).alias("high"))
+               for k, p in enumerate(probs)]
+    brackets = materialize(stats.select(*group, F.inline(F.array(*entries))), "brackets")
+
+    key = [*group, "prob"]
+    near = long.join(F.broadcast(brackets.toDF(*[f"t_{c}" for c in brackets.columns])) if not by else brackets.toDF(*[f"t_{c}" for c in brackets.columns]),
+                     _same(group) & (F.col("v") <= F.col("t_high")))
+    counted = near.groupBy(*group, F.col("t_prob").alias("prob"), F.when(F.col("v") >= F.col("t_low"), F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    counted = materialize(counted, "counted")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(counted.repartitionByRange(parts, *key, "v").withColumn("part", F.spark_partition_id()), "counted")
+    before = Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = placed.groupBy(*key, "part").agg(F.sum("c").alias("c")).withColumn("base", F.coalesce(F.sum("c").over(before), F.lit(0))).drop("c")
+    inside = Window.partitionBy(*key, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = placed.withColumn("upto", F.sum("c").over(inside)).join(bases.toDF(*[f"t_{c}" for c in bases.columns]), _same([*key, "part"]))
+    ranked = ranked.select(*key, "v", (F.col("t_base") + F.col("upto")).alias("end"), (F.col("t_base") + F.col("upto") - F.col("c")).alias("start"))
+    found = ranked.join(brackets.select(*key, "rank").toDF(*[f"t_{c}" for c in [*key, "rank"]]), _same(key))
+    holds = lambda r: F.when((F.col("start") <= r) & (r < F.col("end")), F.col("v"))
+    found = found.groupBy(*key).agg(F.max(holds(F.floor("t_rank"))).alias("low_value"), F.max(holds(F.ceil("t_rank"))).alias("high_value"))
+    found = brackets.select(*key, "rank").join(found.toDF(*[f"t_{c}" for c in found.columns]), _same(key), "left")
+    value = F.col("t_low_value") + (F.col("t_high_value") - F.col("t_low_value")) * (F.col("rank") - F.floor("rank"))
+    # equal neighbours need no interpolation, which would turn infinities into NaN
+    value = F.when(F.col("t_low_value") == F.col("t_high_value"), F.col("t_low_value")).otherwise(value)
+    return found.select(*[F.col(g).alias(c) for c, g in zip(by, group)], "name", "prob", value.alias("value"))
 
 
 def _one_pass(df, columns, probs, by, agg) -> DataFrame:
@@ -50,10 +77,6 @@ def _one_pass(df, columns, probs, by, agg) -> DataFrame:
     return wide.select(*by, F.inline(F.array(*entries)))
 
 
-def _renamed(df: DataFrame) -> DataFrame:
-    return df.toDF(*[f"t_{c}" for c in df.columns])
-
-
 def _same(keys: list[str]) -> Column:
     """Join condition between a frame and a renamed one; NULL keys match."""
     cond = F.lit(True)
@@ -62,51 +85,6 @@ def _same(keys: list[str]) -> Column:
     return cond
 
 
-def _narrowed(df, columns, probs, by) -> DataFrame:
-    group = [*by, "name"]
-    pairs = [F.struct(F.lit(n).alias("name"), c.cast("double").alias("v")) for n, c in columns.items()]
-    long = df.select(*by, F.inline(F.array(*pairs))).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    size = F.least(F.log1p(F.abs("v")), F.lit(_LARGEST))
-    long = long.withColumn("fine", F.floor(F.signum("v") * size * _SCALE).cast("bigint")) \
-               .withColumn("coarse", F.shiftright("fine", _FINE_BITS))
-
-    counted = long.groupBy(*group, "coarse").agg(F.count(F.lit(1)).alias("c"))
-    whole = Window.partitionBy(*group)
-    positions = F.transform(F.lit(probs), lambda p: p * (F.col("n") - 1))
-    ranks = F.array_distinct(F.concat(F.transform(positions, lambda p: F.floor(p)),
-                                        F.transform(positions, lambda p: F.ceil(p))))
-    wanted = (
-        counted.withColumn("n", F.sum("c").over(whole))
-        .withColumn("upto", F.sum("c").over(whole.orderBy("coarse").rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("rank", F.explode(ranks))
-        .where((F.col("upto") - F.col("c") <= F.col("rank")) & (F.col("rank") < F.col("upto")))
-        .select(*group, "n", "rank", "coarse", (F.col("rank") - F.col("upto") + F.col("c")).alias("inside"))
-    )
-    for outer, inner in (("coarse", "fine"), ("fine", "v")):
-        keys = [*group, outer]
-        # the wanted ranks are few; written once, so that each level reads the input exactly once
-        wanted = materialize(wanted, "ranks")
-        small = F.broadcast if wanted.count() <= BROADCAST_ROWS else (lambda d: d)
-        bins = _renamed(wanted.select(*keys).distinct())
-        kept = long.join(small(bins), _same(keys), "left_semi")
-        order = Window.partitionBy(*keys).orderBy(inner).rowsBetween(Window.unboundedPreceding, 0)
-        counted = kept.groupBy(*keys, inner).agg(F.count(F.lit(1)).alias("c"))
-        counted = counted.withColumn("upto", F.sum("c").over(order))
-        hit = (F.col("upto") - F.col("c") <= F.col("t_inside")) & (F.col("t_inside") < F.col("upto"))
-        wanted = counted.join(small(_renamed(wanted)), _same(keys) & hit).select(
-            *group, F.col("t_n").alias("n"), F.col("t_rank").alias("rank"), inner,
-            (F.col("t_inside") - F.col("upto") + F.col("c")).alias("inside"),
-        )
-    found = wanted.groupBy(*group, "n").agg(
-        F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
-    entries = []
-    for p in probs:
-        pos = F.lit(float(p)) * (F.col("n") - 1)
-        low, high = F.col("at")[F.floor(pos)], F.col("at")[F.ceil(pos)]
-        entries.append(F.struct(F.lit(float(p)).alias("prob"), (low + (high - low) * (pos - F.floor(pos))).alias("value")))
-    return found.select(*group, F.inline(F.array(*entries)))
-
-
 def quantile_table(df: DataFrame, columns: dict[str, Column], probs: list[float], **kw) -> dict[str, list[float | None]]:
     """Ungrouped quantiles as a small dictionary: ``len(columns) * len(probs)`` numbers."""
     found = {(r["name"], r["prob"]): r["value"] for r in exact_quantiles(df, columns, probs, **kw).collect()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-GROUPS = ["profiles", "cleaning", "features", "splits", "encoding", "evaluation", "training", "scoring", "streams"]
+GROUPS = ["files", "profiles", "cleaning", "features", "splits", "encoding", "evaluation", "training", "scoring", "streams"]
 
 
 def load() -> dict:

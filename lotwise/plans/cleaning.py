@@ -136,7 +136,7 @@ def binary_recodes(spark, sf_dir):
 def _rare(spark, sf_dir):
     from lotwise.plans.common import fitted
 
-    raw, stats = fitted(spark, sf_dir)
+    raw, stats = fitted(spark, sf_dir, numbers=False)
     return stats.transform(raw)
 
 
@@ -155,7 +155,7 @@ SELECT coalesce(kept, 'other_body_type') AS body_type_cleaned, count(*) AS rows
 def rare_body_types(spark, sf_dir):
     df = C.clean_categories(listings(spark, sf_dir), ["body_type"])
     df = df.select(C.map_synonyms(F.col("body_type"), V.BODY).alias("body"))
-    kept = C.kept_values(df, F.col("body"), 20)
+    kept = C.kept_values(df, "body", 20)
     return C.group_rare(df, "body", kept, "other_body_type", "body_type_cleaned").groupBy("body_type_cleaned").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -166,7 +166,7 @@ SELECT coalesce(CAST(kept AS VARCHAR), 'Other') AS part_grouped, count(*) AS row
 FROM lineitem LEFT JOIN kept ON kept = l_partkey GROUP BY 1""")
 def rare_parts(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").cast("string").alias("part"), "l_quantity")
-    kept = C.kept_values(items, F.col("part"), C.rare_threshold(items.count(), 10, 0.0005), inclusive=True)
+    kept = C.kept_values(items, "part", C.rare_threshold(items.count(), 10, 0.0005), inclusive=True)
     out = C.group_rare(items, "part", kept, "Other", "part_grouped").groupBy("part_grouped")
     return rounded(out.agg(F.count(F.lit(1)).alias("rows"), F.avg("l_quantity").alias("mean_quantity")))
 

@@ -13,12 +13,15 @@ def builder() -> FeatureBuilder:
     return FeatureBuilder(AS_OF_YEAR, luxury_makes=LUXURY)
 
 
-def fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, FeatureStats]:
+def fitted(spark: SparkSession, sf_dir: str, **parts: bool) -> tuple[DataFrame, FeatureStats]:
     raw = listings(spark, sf_dir)
-    return raw, builder().fit(raw)
+    return raw, builder().fit(raw, **parts)
 
 
-def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics over all rows, as the checking SQL has it; training code fits on its own part."""
-    raw, stats = fitted(spark, sf_dir)
+def feature_table(spark: SparkSession, sf_dir: str, **parts: bool) -> DataFrame:
+    """Statistics over all rows, as the checking SQL has it; training code fits on its own part.
+
+    ``numbers`` and ``names`` set to False leave out what the caller's columns don't need.
+    """
+    raw, stats = fitted(spark, sf_dir, **parts)
     return stats.transform(raw)

@@ -42,7 +42,7 @@ _HOT = ["fuel_type_cleaned", "transmission_cleaned", "make_name_cleaned", "model
 seen AS (SELECT DISTINCT c, v FROM long {_TRAIN})
 SELECT listing_id, 'cat__' || c || '_' || v AS slot FROM long JOIN seen USING (c, v) WHERE {S.bucket('listing_id')} >= 80""")
 def one_hot_long(spark, sf_dir):
-    train, test = train_test(feature_table(spark, sf_dir).select("listing_id", *_HOT))
+    train, test = train_test(feature_table(spark, sf_dir, numbers=False).select("listing_id", *_HOT))
     return E.one_hot_long(test, E.fit_preprocessor(train, [], _HOT).labels)
 
 
@@ -52,7 +52,7 @@ _FUELS = ["diesel", "electric", "hybrid_diesel", "hybrid_petrol", "petrol", "plu
 @plan("one_hot_wide", f"""WITH {S.LISTINGS}, {S.TEXT} SELECT listing_id,
   {", ".join(f"CASE WHEN fuel_type_cleaned = '{v}' THEN 1 ELSE 0 END AS fuel_type_cleaned_{v}" for v in _FUELS)} FROM text_features""")
 def one_hot_wide(spark, sf_dir):
-    return E.one_hot_wide(feature_table(spark, sf_dir), {"fuel_type_cleaned": _FUELS}, ["listing_id"])
+    return E.one_hot_wide(feature_table(spark, sf_dir, numbers=False, names=False), {"fuel_type_cleaned": _FUELS}, ["listing_id"])
 
 
 # share of ones and mean per slot of the full encoder output, fitted on the training part
@@ -71,10 +71,29 @@ def encoded_slots(spark, sf_dir):
     return one.select(F.posexplode(zipped).alias("idx", "z")).select("idx", "z.slot", F.round("z.mean", 6).alias("mean"), "z.nonzero")
 
 
-@plan("insurance_regression_fill")
+_PREDICTORS = ["price_log", "car_age", "mileage_log", "engine_size_cc_log"]
+
+
+def _normal_equations(inputs: list[str], target: str, where: str) -> str:
+    """Least squares by Gauss-Jordan steps on the centred cross products, one query per eliminated input."""
+    n, cols = len(inputs), [*inputs, target]
+    sums = ", ".join(f"covar_pop({a}, {b}) AS m_{i}_{j}" for i, a in enumerate(inputs) for j, b in enumerate(cols))
+    out = f"e0 AS (SELECT {', '.join(f'avg({c}) AS avg_{i}' for i, c in enumerate(cols))}, {sums} FROM features {where} AND {target} IS NOT NULL)"
+    for k in range(n):
+        cells = ", ".join(f"{f'm_{i}_{j} / m_{k}_{k}' if i == k else f'm_{i}_{j} - m_{i}_{k} * m_{k}_{j} / m_{k}_{k}'} AS m_{i}_{j}"
+                          for i in range(n) for j in range(n + 1))
+        out += f", e{k + 1} AS (SELECT {', '.join(f'avg_{i}' for i in range(n + 1))}, {cells} FROM e{k})"
+    slopes = ", ".join(f"m_{i}_{n} AS b{i}" for i in range(n))
+    start = " - ".join([f"avg_{n}", *[f"m_{i}_{n} * avg_{i}" for i in range(n)]])
+    return f"{out}, fit AS (SELECT {slopes}, {start} AS a FROM e{n})"
+
+
+@plan("insurance_regression_fill", f"""WITH {S.FEATURES}, {_normal_equations(_PREDICTORS, "annual_insurance", _TRAIN)}
+SELECT listing_id, round(coalesce(annual_insurance, a + {" + ".join(f"b{i} * {c}" for i, c in enumerate(_PREDICTORS))}), 2) AS annual_insurance
+FROM features CROSS JOIN fit""")
 def insurance_regression_fill(spark, sf_dir):
     df = feature_table(spark, sf_dir)
-    filled = E.regression_fill(df, "annual_insurance", ["price_log", "car_age", "mileage_log", "engine_size_cc_log"], train_test(df)[0])
+    filled = E.regression_fill(df, "annual_insurance", _PREDICTORS, train_test(df)[0])
     return rounded(filled.select("listing_id", "annual_insurance"), 2)
 
 
@@ -82,11 +101,14 @@ def insurance_regression_fill(spark, sf_dir):
 @plan("insurance_one_column_fill", f"""WITH {S.FEATURES},
 fit AS (SELECT regr_slope(annual_insurance, price_log) AS b, regr_intercept(annual_insurance, price_log) AS a,
   min(annual_insurance) AS low FROM features {_TRAIN})
-SELECT listing_id, round(coalesce(annual_insurance, greatest(a + b * price_log, low)), 2) AS annual_insurance FROM features CROSS JOIN fit""")
+SELECT listing_id, round(coalesce(annual_insurance, a + b * price_log), 2) AS annual_insurance,
+  round(coalesce(annual_insurance, greatest(a + b * price_log, low)), 2) AS with_floor FROM features CROSS JOIN fit""")
 def insurance_one_column_fill(spark, sf_dir):
-    df = feature_table(spark, sf_dir).select("listing_id", "annual_insurance", "price_log")
-    filled = E.regression_fill(df, "annual_insurance", ["price_log"], train_test(df)[0])
-    return rounded(filled.select("listing_id", "annual_insurance"), 2)
+    df = feature_table(spark, sf_dir).select("listing_id", "annual_insurance", "price_log", F.col("annual_insurance").alias("with_floor"))
+    train, _ = train_test(df)
+    filled = E.regression_fill(df, "annual_insurance", ["price_log"], train)
+    filled = E.regression_fill(filled, "with_floor", ["price_log"], train, floor=True)
+    return rounded(filled.select("listing_id", "annual_insurance", "with_floor"), 2)
 
 
 @plan("oof_target_encoding", f"""WITH {S.FEATURES},
@@ -120,6 +142,6 @@ FROM a FULL JOIN b ON a.name = b.name""")
 def name_alignment(spark, sf_dir):
     from lotwise.operators.names import align, name_table
 
-    train, test = train_test(feature_table(spark, sf_dir).select("listing_id", *_NAMED))
+    train, test = train_test(feature_table(spark, sf_dir, numbers=False).select("listing_id", *_NAMED))
     a, b = (E.fit_preprocessor(part, [], _NAMED).names for part in (train, test))
     return align(name_table(spark, [E.strip_prefix(n) for n in a]), name_table(spark, [E.strip_prefix(n) for n in b]))

@@ -101,7 +101,7 @@ def _weight_sql() -> str:
 
 
 @plan("bootstrap_r2", f"""{_SCORED}, fan AS (
-  SELECT actual AS a, pow(actual - ols, 2) AS e, r, ((listing_id % 2147483647) * 48271 + r * 69621 + 12345) % 2147483647 AS x
+  SELECT actual AS a, pow(actual - ols, 2) AS e, r, (({S.unit('listing_id', E.KEY_SEED)} % 2147483647) * 48271 + r * 69621 + 12345) % 2147483647 AS x
   FROM scored CROSS JOIN (SELECT unnest(range(1, 1001)) AS r)),
 h1 AS (SELECT a, e, r, (x * x + r) % 2147483647 AS x FROM fan), h2 AS (SELECT a, e, r, (x * 16807 + 7) % 2147483647 AS x FROM h1),
 h3 AS (SELECT a, e, r, (x * x + 11) % 2147483647 AS x FROM h2), w AS (SELECT a, e, r, {_weight_sql()} AS w FROM h3),

@@ -33,6 +33,6 @@ def price_by_fuel(spark, sf_dir):
     feats = stats.transform(raw).select("fuel_type_cleaned", "price_log")
     counts = feats.groupBy("fuel_type_cleaned").agg(
         F.count(F.lit(1)).alias("listings"), F.avg("price_log").alias("mean_price_log"))
-    mid = exact_quantiles(feats, {"price_log": F.col("price_log")}, [0.5], by=("fuel_type_cleaned",), rows=stats.rows)
+    mid = exact_quantiles(feats, {"price_log": F.col("price_log")}, [0.5], by=("fuel_type_cleaned",))
     mid = mid.select("fuel_type_cleaned", F.col("value").alias("median_price_log"))
     return rounded(counts.join(mid, "fuel_type_cleaned"))

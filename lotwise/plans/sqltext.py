@@ -68,7 +68,7 @@ LISTINGS = f"""listings AS (
     {", ".join(_word(c) for c in RAW_WORDS)},
     c_mktsegment AS source
   FROM (SELECT *, o_orderkey AS k FROM orders)
-  LEFT JOIN part ON p_partkey = k % 200 AND p_partkey < 200
+  LEFT JOIN part ON p_partkey = k % (SELECT count(*) FROM part)
   LEFT JOIN customer ON c_custkey = o_custkey)"""
 
 _CODE = f"coalesce({txt('currency_code')}, 'ksh')"

@@ -15,7 +15,7 @@ from lotwise.sources.listings import listing_stream
 from lotwise.sources.scratch import new_path
 from lotwise.sources.tables import stream, table
 from lotwise.streaming import monitor as W, scoring as C
-from lotwise.streaming.runner import run_to_files, utc_day, with_event_time
+from lotwise.streaming.runner import run_to_files, run_updates, utc_day, with_event_time
 
 
 def request_stream(spark, sf_dir):
@@ -79,16 +79,11 @@ def stream_log(spark, sf_dir):
     return rounded(out.agg(F.count(F.lit(1)).alias("rows"), F.avg("prediction").alias("mean_prediction"), F.count("error").alias("errors")))
 
 
-# append mode emits a window once the watermark has passed its end
-_CLOSED = "WHERE window_end <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)"
-
-
 @plan("stream_monitor", f"""WITH w AS (SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, value FROM events)
 SELECT strftime(window_start, '%Y-%m-%d') AS day, count(*) AS rows, round(avg(value), 6) AS mean, 0.0::DOUBLE AS null_share,
-  round(count(*) FILTER (WHERE value < 1 OR value > 300)::DOUBLE / count(*), 6) AS outside_share FROM w {_CLOSED} GROUP BY 1""")
+  round(count(*) FILTER (WHERE value < 1 OR value > 300)::DOUBLE / count(*), 6) AS outside_share FROM w GROUP BY 1""")
 def stream_monitor(spark, sf_dir):
-    path = run_to_files(W.monitor(timed_events(spark, sf_dir), "ts", "value", 1.0, 300.0), "monitor")
-    out = spark.read.parquet(path)
+    out = run_updates(W.monitor(timed_events(spark, sf_dir), "ts", "value", 1.0, 300.0), "monitor")
     return rounded(out.select(utc_day(F.col("window_start")).alias("day"), "rows", "mean", "null_share", "outside_share"))
 
 
@@ -103,7 +98,7 @@ def _psi_sql() -> str:
     psi = " + ".join(f"(p{i} - q{i}) * (ln(p{i}) - ln(q{i}))" for i in range(len(conds)))
     return f"""WITH base AS (SELECT {base} FROM events WHERE user_id % 2 = 0),
 w AS (SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, value FROM events),
-now AS (SELECT window_start, count(*) AS rows, {now} FROM w {_CLOSED} GROUP BY 1)
+now AS (SELECT window_start, count(*) AS rows, {now} FROM w GROUP BY 1)
 SELECT strftime(window_start, '%Y-%m-%d') AS day, rows, round({psi}, 6) AS psi FROM now CROSS JOIN base"""
 
 
@@ -111,8 +106,8 @@ SELECT strftime(window_start, '%Y-%m-%d') AS day, rows, round({psi}, 6) AS psi F
 def stream_drift(spark, sf_dir):
     training = table(spark, sf_dir, "events").where(F.col("user_id") % 2 == 0)
     baseline = W.profile(training, "value", EDGES)
-    path = run_to_files(W.drift(timed_events(spark, sf_dir), "ts", "value", EDGES, baseline), "drift")
-    return rounded(spark.read.parquet(path).select(utc_day(F.col("window_start")).alias("day"), "rows", "psi"))
+    out = run_updates(W.drift(timed_events(spark, sf_dir), "ts", "value", EDGES, baseline), "drift")
+    return rounded(out.select(utc_day(F.col("window_start")).alias("day"), "rows", "psi"))
 
 
 # every second event comes twice

@@ -11,7 +11,12 @@ from lotwise.operators.features import FEATURES, NUMERIC_FEATURES, TARGET
 from lotwise.plans import sqltext as S
 from lotwise.plans.common import builder, feature_table
 from lotwise.plans.registry import plan, rounded
+from lotwise.operators.split import train_test
 from lotwise.sources.listings import listings
+from lotwise.sources.scratch import materialize
+
+
+_TRAIN_PART = f"WHERE {S.bucket('listing_id')} < 80"
 
 
 def data(spark, sf_dir, **kw) -> T.TrainingData:
@@ -34,11 +39,8 @@ def rf_importance(spark, sf_dir):
 def median_selection(spark, sf_dir):
     d = data(spark, sf_dir)
     table = T.importances(spark, T.learner("forest").fit(d.train), d.encoder.names)
-    kept = [r["name"] for r in T.select_by_median(table).collect()]
-    test = select_slots(d.test, d.encoder.names, kept)
-    from pyspark.ml.functions import vector_to_array
-
-    return test.select("listing_id", F.size(vector_to_array("selected")).alias("slots"))
+    kept = T.select_by_median(table).select("name", F.lit(True).alias("kept"))
+    return rounded(table.join(kept, "name", "left").select("name", "importance", F.coalesce("kept", F.lit(False)).alias("kept")))
 
 
 @plan("cv_scores")
@@ -116,38 +118,59 @@ def stacked_scores(spark, sf_dir):
 
 
 def _forest(spark, sf_dir):
-    d = data(spark, sf_dir, text=["fuel_type_cleaned", "transmission_cleaned", "make_name_cleaned", "condition_clean"])
+    d = data(spark, sf_dir)
     model = T.learner("forest", numTrees=10, maxDepth=6).fit(d.train)
     return d, PipelineModel([*d.encoder.pipeline.stages, model])
 
 
-_EXPLAINED = [f for f in FEATURES if f not in ("model_name_cleaned", "make_model_cleaned", "drive_type_cleaned", "usage_type_clean", "body_type_cleaned")]
+def _shares(spark, sf_dir):
+    """Contributions of all features to a forest's predictions, written once for what is derived from them."""
+    d, model = _forest(spark, sf_dir)
+    return d, materialize(X.shapley(d.test, FEATURES, model.transform, background_df=d.train), "contributions")
 
 
 @plan("shapley_sampled")
 def shapley_sampled(spark, sf_dir):
-    d, model = _forest(spark, sf_dir)
-    out = X.shapley(d.test, _EXPLAINED, model.transform, background_df=d.train)
-    return rounded(out, 6)
+    return rounded(_shares(spark, sf_dir)[1], 6)
 
 
 @plan("shapley_importance")
 def shapley_importance(spark, sf_dir):
-    d, model = _forest(spark, sf_dir)
-    return rounded(M.global_importance(X.shapley(d.test, _EXPLAINED, model.transform, background_df=d.train)), 6)
+    return rounded(M.global_importance(_shares(spark, sf_dir)[1]), 6)
 
 
 @plan("shapley_dependence")
 def shapley_dependence(spark, sf_dir):
-    d, model = _forest(spark, sf_dir)
-    values = d.test.select("listing_id", "car_age")
-    return rounded(M.dependence(X.shapley(d.test, _EXPLAINED, model.transform, background_df=d.train), values, "car_age"), 6)
+    """Along each of the ten most important features: numbers by range, words by value."""
+    d, shares = _shares(spark, sf_dir)
+    top = [r["feature"] for r in M.global_importance(shares, 10).collect()]
+    return rounded(M.dependence_table(shares, d.test, top), 6)
+
+
+_WEIGHTS = {"car_age": -0.08, "mileage_log": -0.11, "engine_size_cc_log": 0.6, "horse_power_log": 0.35, "seats_num": 0.02}
+
+
+# a linear scorer has exact shares: weight times distance from the background's mean
+@plan("shapley_linear", f"""WITH {S.FEATURES},
+explained AS (SELECT * FROM features WHERE {S.bucket('listing_id')} >= 80 ORDER BY {S.unit('listing_id')}, listing_id LIMIT 200),
+background AS (SELECT * FROM features {_TRAIN_PART} ORDER BY {S.unit('listing_id', 7)}, listing_id LIMIT 100),
+m AS (SELECT {", ".join(f"avg({c}) AS {c}" for c in _WEIGHTS)} FROM background),
+base AS (SELECT 5 + {" + ".join(f"{w}::DOUBLE * {c}" for c, w in _WEIGHTS.items())} AS base FROM m)
+{" UNION ALL ".join(f"SELECT listing_id, '{c}' AS feature, round({w}::DOUBLE * (e.{c} - m.{c}), 6) AS contribution, round(base, 6) AS base FROM explained e CROSS JOIN m CROSS JOIN base" for c, w in _WEIGHTS.items())}""")
+def shapley_linear(spark, sf_dir):
+    train, test = train_test(feature_table(spark, sf_dir, names=False).select("listing_id", *_WEIGHTS))
+    line = sum((F.col(c) * w for c, w in _WEIGHTS.items()), F.lit(5.0))
+    out = X.shapley(test, list(_WEIGHTS), lambda df: df.withColumn("prediction", line), background_df=train)
+    return rounded(out)
 
 
 @plan("permutation_importance")
 def permutation_importance(spark, sf_dir):
     d, model = _forest(spark, sf_dir)
-    return rounded(X.permutation_importance(d.test, _EXPLAINED, model.transform, TARGET), 6)
+    return rounded(X.permutation_importance(d.test, FEATURES, model.transform, TARGET), 6)
+
+
+_NEAR = ["car_age", "engine_size_cc_log", "horse_power_log"]
 
 
 def _scaled_parts(spark, sf_dir):
@@ -161,10 +184,18 @@ def _scaled_parts(spark, sf_dir):
     return cut(train), cut(test)
 
 
-_NEAR = ["car_age", "engine_size_cc_log", "horse_power_log"]
-
-
-@plan("knn_price")
+# each row of the test part against every row of the training part; equal distances share what weight is left
+@plan("knn_price", f"""WITH {S.FEATURES}, train AS (SELECT * FROM features {_TRAIN_PART}),
+s AS (SELECT {", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS d{i}" for i, c in enumerate(_NEAR))} FROM train),
+z AS (SELECT listing_id, price_log, {S.bucket('listing_id')} < 80 AS seen, {", ".join(f"({c} - m{i}) / d{i} AS z{i}" for i, c in enumerate(_NEAR))} FROM features CROSS JOIN s),
+points AS (SELECT {", ".join(f"z{i}" for i in range(len(_NEAR)))}, count(*) AS n, sum(price_log) AS s FROM z WHERE seen GROUP BY ALL),
+asked AS (SELECT DISTINCT {", ".join(f"z{i}" for i in range(len(_NEAR)))} FROM z WHERE NOT seen),
+far AS (SELECT {", ".join(f"q.z{i}" for i in range(len(_NEAR)))}, round(sqrt({" + ".join(f"pow(q.z{i} - p.z{i}, 2)" for i in range(len(_NEAR)))}), 9) AS d,
+  sum(n) AS n, sum(s) AS s FROM asked q CROSS JOIN points p GROUP BY ALL),
+taken AS (SELECT *, least(n, 5 - coalesce(sum(n) OVER (PARTITION BY {", ".join(f"z{i}" for i in range(len(_NEAR)))} ORDER BY d
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS w FROM far),
+mean AS (SELECT {", ".join(f"z{i}" for i in range(len(_NEAR)))}, sum(w * s / n) / sum(w) AS predicted FROM taken WHERE w > 0 GROUP BY ALL)
+SELECT listing_id, round(price_log, 6) AS price_log, round(predicted, 6) AS predicted FROM z JOIN mean USING ({", ".join(f"z{i}" for i in range(len(_NEAR)))}) WHERE NOT seen""")
 def knn_price(spark, sf_dir):
     train, test = _scaled_parts(spark, sf_dir)
     out = N.knn_predict(train, test, _NEAR, TARGET, k=5)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -10,15 +11,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lotwise.functions.text import clean_name, na_to_null
 
 
-def read_listings(spark: SparkSession, path: str, fmt: str = "csv", missing_ok: bool = False) -> DataFrame | None:
+def read_listings(spark: SparkSession, path: str, fmt: str = "csv", missing_ok: bool = False, one_line: bool = False) -> DataFrame | None:
     """Listing file with header, every CSV column as text, missing-value tokens as NULL.
 
-    A path that does not exist raises, or gives None with ``missing_ok``.
+    Quoted CSV values may hold commas, line ends and doubled quotes; the headers of all files must agree.
+    ``one_line`` is for files known to have no line ends in values: they are split among tasks. A path that
+    does not exist raises, or gives None with ``missing_ok``.
     """
-    reader = spark.read.option("header", True).option("inferSchema", False)
-    reader = reader.option("multiLine", True).option("escape", '"') if fmt == "csv_multiline" else reader
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.options(header=True, inferSchema=False, quote='"', escape='"', multiLine=not one_line, enforceSchema=False)
     try:
-        df = reader.format("csv" if fmt.startswith("csv") else fmt).load(path)
+        df = reader.load(path)
     except AnalysisException as e:
         if missing_ok and e.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -68,11 +72,10 @@ def write_stage(df: DataFrame, path: str, stamp: str | None = None, fmt: str = "
 
 
 def read_latest(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The newest snapshot of a stage; the filter prunes to its folder."""
-    df = spark.read.option("basePath", path).option("header", True).format(fmt).load(f"{path}/run_ts=*")
-    # run_ts is a partition column: the maximum comes from folder names alone
-    newest = df.select(F.max(F.col("run_ts").cast("string")).alias("t")).first()["t"]
-    return df.where(F.col("run_ts").cast("string") == newest).drop("run_ts")
+    """The newest snapshot of a stage. Its name comes from a listing of the files; only its folder is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/run_ts=*").inputFiles()
+    newest = max(m[1] for m in (re.search(r"/run_ts=([^/]+)/", f) for f in files) if m)
+    return spark.read.option("header", True).format(fmt).load(f"{path}/run_ts={newest}")
 
 
 def write_names(spark: SparkSession, names: list[str], path: str) -> None:

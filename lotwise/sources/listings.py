@@ -8,9 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lotwise.sources.tables import spread, stream, table
+from lotwise.sources.tables import stream, table
 
-PARTS_USED = 200
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 
 # ---- fixed values: raw words of the categorical columns, picked by key modulo (length + 1) --------
@@ -42,12 +41,11 @@ def _word(k: Column, words: list[str]) -> Column:
 def from_orders(orders: DataFrame, part: DataFrame, customer: DataFrame | None = None) -> DataFrame:
     """Listing columns over an orders table (batch or stream).
 
-    ``part`` is cut to 200 primary-key values, which bounds the broadcast. ``customer`` gives the
-    source tag; leave it out where no caller needs the tag, the rows stay the same.
+    An order's part is the one whose key is the order key modulo the number of parts. ``customer`` gives
+    the source tag; leave it out where no caller needs the tag, the rows stay the same.
     """
-    small_part = part.where((F.col("p_partkey") >= 0) & (F.col("p_partkey") < PARTS_USED)).select(
-        "p_partkey", "p_name", "p_brand", "p_size")
-    rows = orders.join(F.broadcast(small_part), F.col("p_partkey") == F.col("o_orderkey") % PARTS_USED, "left")
+    parts = part.select("p_partkey", "p_name", "p_brand", "p_size")
+    rows = orders.join(parts, F.col("p_partkey") == F.col("o_orderkey") % max(part.count(), 1), "left")
     if customer is not None:
         tags = customer.select("c_custkey", F.col("c_mktsegment").alias("source"))
         rows = rows.join(tags, F.col("c_custkey") == F.col("o_custkey"), "left")
@@ -91,7 +89,7 @@ def listings(spark: SparkSession, sf_dir: str, with_source: bool = False) -> Dat
     key = (spark.sparkContext.applicationId, id(spark), sf_dir, with_source)
     if key not in _plans:
         customer = table(spark, sf_dir, "customer") if with_source else None
-        orders = spread(table(spark, sf_dir, "orders").select(*ORDER_COLUMNS))
+        orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
         _plans[key] = from_orders(orders, table(spark, sf_dir, "part"), customer)
     return _plans[key]
 

@@ -23,8 +23,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _local[app]
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/lotwise-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/lotwise/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this application wrote here. Frames that read it are of no use afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -9,16 +9,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the files have fewer splits than that, as small files do.
+def stream(spark: SparkSession, sf_dir: str, name: str, batch_files: int = 64) -> DataFrame:
+    """The same table as a file stream of ``batch_files`` files a batch at most.
 
-    A large table has more splits than cores and is left alone.
+    The bracket makes the path a pattern, so one file will do.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table as a file stream; the bracket makes the path a pattern, so one file will do."""
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", batch_files).parquet(f"{sf_dir}/{name}.parque[t]")

@@ -43,19 +43,19 @@ def profile(df: DataFrame, value: str, edges: list[float]) -> list[float]:
     return [c / total for c in counts] if total else [0.0] * len(counts)
 
 
-def stability_index(shares: list[Column], baseline: list[float]) -> Column:
+def stability_index(shares: list[Column], baseline: list[float], floor: float = SMALLEST_SHARE) -> Column:
     """Population stability index: sum of (p - q) * ln(p / q), with a floor for empty bins."""
     out = F.lit(0.0)
     for p, q in zip(shares, baseline):
-        p, q = F.greatest(p, F.lit(SMALLEST_SHARE)), max(q, SMALLEST_SHARE)
+        p, q = F.greatest(p, F.lit(floor)), max(q, floor)
         out = out + (p - F.lit(q)) * (F.log(p) - F.lit(math.log(q)))
     return out
 
 
 def drift(stream: DataFrame, time: str, value: str, edges: list[float], baseline: list[float], width: str = "1 day",
-          delay: str = "1 day") -> DataFrame:
+          delay: str = "1 day", floor: float = SMALLEST_SHARE) -> DataFrame:
     """Stability index per window against the training profile: one aggregation, bins as columns."""
     counts = stream.withWatermark(time, delay).groupBy(F.window(time, width).alias("w")).agg(
         F.count(value).alias("rows"), *bin_counts(F.col(value), edges))
     shares = [F.try_divide(F.col(f"bin_{i}"), F.col("rows")) for i in range(len(edges) + 1)]
-    return counts.select(F.col("w.start").alias("window_start"), "rows", stability_index(shares, baseline).alias("psi"))
+    return counts.select(F.col("w.start").alias("window_start"), "rows", stability_index(shares, baseline, floor).alias("psi"))

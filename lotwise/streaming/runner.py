@@ -33,6 +33,20 @@ def run_to_files(stream: DataFrame, label: str, path: str | None = None, partiti
     return path
 
 
+def run_updates(stream: DataFrame, label: str, checkpoint: str | None = None) -> DataFrame:
+    """The newest state of every window, open ones too: each batch writes what it changed, and the last change counts.
+
+    ``stream`` starts with the column that names a window. A repeated batch replaces its own folder.
+    """
+    spark, path = stream.sparkSession, new_path(stream.sparkSession, label)
+    writer = stream.writeStream.outputMode("update").trigger(availableNow=True).option("checkpointLocation", checkpoint or f"{path}-checkpoint")
+    writer.foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}")).start().awaitTermination()
+    window, *rest = stream.columns
+    rows = spark.read.schema(stream.schema.add("batch", "long")).option("basePath", path).parquet(path)
+    last = rows.groupBy(window).agg(F.max_by(F.struct(*rest), "batch").alias("last"))
+    return last.select(window, *[F.col(f"last.{c}").alias(c) for c in rest])
+
+
 def run_batches(stream: DataFrame, label: str, handle: Callable[[DataFrame, int], None], checkpoint: str | None = None) -> None:
     """Hand each micro-batch to ``handle``; a batch that is repeated after a failure has the same id."""
     checkpoint = checkpoint or new_path(stream.sparkSession, f"{label}-checkpoint")

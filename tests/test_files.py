@@ -14,6 +14,17 @@ def test_read_listings(spark, tmp_path):
         S.read_listings(spark, str(tmp_path / "none.csv"))
 
 
+def test_quoted_values(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/1.csv").write_text('make,detail,price\nToyota,"said ""clean, one owner"" ok",100\nMazda,"two\nlines",7\n')
+    (tmp_path / "a/2.csv").write_text("make,detail,price\nKia,,5\n")
+    rows = {tuple(r) for r in S.read_listings(spark, str(tmp_path / "a")).collect()}
+    assert rows == {("Toyota", 'said "clean, one owner" ok', "100"), ("Mazda", "two\nlines", "7"), ("Kia", None, "5")}
+    (tmp_path / "a/3.csv").write_text("make,price,detail\nKia,5,x\n")
+    with pytest.raises(Exception):
+        S.read_listings(spark, str(tmp_path / "a")).collect()
+
+
 def test_nan_becomes_null_and_names_must_differ(spark):
     df = spark.createDataFrame([(float("nan"), "a"), (1.0, "b")], "x double, y string")
     assert S.normalize_missing(df).where("x is null").count() == 1
@@ -27,6 +38,7 @@ def test_snapshots(spark, tmp_path):
     S.write_stage(spark.range(5), path, "20250520_123812")
     S.write_stage(spark.range(4), path, "20250301_000000")
     latest = S.read_latest(spark, path)
+    assert {f.split("run_ts=")[1][:15] for f in latest.inputFiles()} == {"20250520_123812"}
     assert latest.count() == 5 and latest.columns == ["id"]
     S.write_stage(spark.range(6), path, "20250520_123812")  # same stamp again replaces
     assert S.read_latest(spark, path).count() == 6

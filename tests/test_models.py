@@ -52,6 +52,8 @@ def test_target_encoding_leaves_own_fold_out(spark):
 def test_regression_fill(spark):
     df = spark.createDataFrame([(float(i), None if i % 4 == 0 else 2.0 * i + 1) for i in range(40)], "x double, y double")
     out = E.regression_fill(df, "y", ["x"]).collect()
+    assert all(r["y"] == pytest.approx(2 * r["x"] + 1) for r in out)
+    out = E.regression_fill(df, "y", ["x"], floor=True).collect()
     assert all(r["y"] == pytest.approx(max(2 * r["x"] + 1, 3.0)) for r in out)
 
 
@@ -112,15 +114,16 @@ def test_shapley_adds_up(data):
     names = ["car_age", "mileage_num", "horse_power_num", "fuel_type_cleaned", "make_name_cleaned", "condition_clean"]
     rest = [c for c in data.encoder.scale if c not in names]
     fixed = data.test.select("listing_id", *names, *[F.lit(0.0).alias(c) for c in rest])
-    # one background row: the sum must be the prediction minus that row's prediction
-    out = X.shapley(fixed, [*names, *rest], model.transform, explained=5, background=1, permutations=4)
+    # the sum must be the prediction minus the mean prediction of the background, one value for all
+    out = X.shapley(fixed, [*names, *rest], model.transform, explained=5, background=100)
     total = {r[0]: r[1] for r in out.groupBy("listing_id").agg(F.sum("contribution")).collect()}
-    ground = sample_rows(fixed, 1, seed=7)
-    base = model.transform(ground).first()["prediction"]
+    ground = sample_rows(fixed, 100, seed=7)
+    base = model.transform(ground).agg(F.avg("prediction")).first()[0]
+    assert all(r["base"] == pytest.approx(base, abs=1e-6) for r in out.select("base").collect())
     rows = {r["listing_id"]: r["prediction"] for r in model.transform(fixed.where(F.col("listing_id").isin(list(total)))).collect()}
     assert len(total) == 5
     for k, t in total.items():
-        assert t == pytest.approx(rows[k] - base, abs=1e-9)
+        assert t == pytest.approx(rows[k] - base, abs=1e-6)
 
 
 def test_donor_is_a_permutation(spark):

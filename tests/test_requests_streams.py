@@ -102,3 +102,14 @@ def test_scoring_stream_writes_each_row_once(spark, tmp_path):
         C.score_stream(stream, lambda d: d.select("mileage_num", "power_per_cc"), out, checkpoint=cp)
     assert sorted(r["mileage_num"] for r in C.read_scores(spark, out).collect()) == [1.0, 7.0]
     assert C.read_scores(spark, out, "quarantine").count() == 1
+
+
+def test_updates_show_open_windows_of_several_batches(spark, tmp_path):
+    from lotwise.streaming.runner import run_updates
+
+    src = str(tmp_path / "in")
+    for name, rows in (("a", [(1, 1, 1, 5), (2, 2, 2, 500)]), ("b", [(3, 2, 3, 7)]), ("c", [(4, 9, 1, 1), (5, 9, 2, 3)])):
+        times(spark, rows, src, name)
+    stream = spark.readStream.schema(spark.read.parquet(f"{src}/a").schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+    got = {r["window_start"].day: (r["rows"], r["mean"]) for r in run_updates(W.monitor(stream, "ts", "value", 0, 100), "m").collect()}
+    assert got == {1: (1, 5.0), 2: (2, 253.5), 9: (2, 2.0)}
