@@ -14,6 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lotwise.llm.rows import hash_sample
 from lotwise.sources.scratch import materialize
 
 #: The bounded sample of rows with a language that scores are fitted on.
@@ -139,7 +140,7 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Trigram scores from the texts of at most ``sample_rows`` ids with a language, those of the smallest hash."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    ids = known.select(F.col("doc_id").alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
+    ids = hash_sample(known.select(F.col("doc_id").alias("_id")).distinct(), sample_rows, "_id")
     sample = materialize(known.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("text", "lang"), "lang_sample")
     counts = sample.mapInArrow(_slot_counts, "lang string, slot int, script int, n long").groupBy("lang", "slot", "script").agg(F.sum("n").alias("n"))
     rows = counts.toPandas()  # at most a row for each language and slot, and for each language and script

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lotwise.llm.rows import hash_sample
+
 #: Rows the codebooks are fitted on, at most: those of the smallest id hashes.
 SAMPLE_ROWS = 16384
 ROWS_PER_CELL = 16
@@ -33,7 +35,7 @@ def main_size(rows: DataFrame, vector: str = "vector") -> int:
 
 def sample(rows: DataFrame, *by: str, n: int = SAMPLE_ROWS) -> np.ndarray:
     """Matrix of at most ``n`` vectors, those of the smallest hash of the given columns."""
-    taken = rows.select("vector", F.xxhash64(*by).alias("_h")).orderBy("_h").limit(n).select("vector").collect()
+    taken = hash_sample(rows.select("vector", *by), n, *by).select("vector").collect()
     return np.array([r["vector"] for r in taken], dtype=np.float64)
 
 

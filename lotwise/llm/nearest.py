@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lotwise.llm.multi_index import MultiIndex, main_size, matrix, sample, traverse, usable
+from lotwise.llm.rows import hash_sample
 from lotwise.sources.scratch import materialize
 
 BLOCK = 4096
@@ -125,7 +126,7 @@ def _visits(index: MultiIndex, filled: np.ndarray, blocks: np.ndarray, wanted: i
 
 def _candidates_for(coded: DataFrame, index: MultiIndex, filled: np.ndarray, k: int, recall: float) -> int:
     """Candidates to collect, own row included, from the exact neighbours of the trial queries."""
-    trial = coded.where("is_query").select("vec_id", "vector").orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id").limit(TRIAL_QUERIES).collect()
+    trial = hash_sample(coded.where("is_query").select("vec_id", "vector"), TRIAL_QUERIES, "vec_id").collect()
     ids, q = np.array([r["vec_id"] for r in trial]), np.array([r["vector"] for r in trial])
 
     def closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

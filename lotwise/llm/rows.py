@@ -31,3 +31,14 @@ def content_key(docs: DataFrame) -> Column:
     rest = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
     more = [F.to_json(F.struct(*[of(c).alias(f"c{k}") for k, c in enumerate(rest)]))] if rest else []
     return F.xxhash64(of("doc_id"), of("source"), of("text"), *more)
+
+
+def hash_sample(rows: DataFrame, n: int, *by: str) -> DataFrame:
+    """The ``n`` rows of the smallest hash of some columns, or all if there are fewer.
+
+    Rows are counted first, so that each task passes on only about its share of ``2 n`` rows.
+    """
+    total, top = rows.count(), 1 << 31
+    place = F.pmod(F.xxhash64(*by), F.lit(top))
+    few = rows.where(place < min(top, -(-2 * max(n, 1000) * top // max(total, 1))))
+    return few.orderBy(place, *by).limit(n)

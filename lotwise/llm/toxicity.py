@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from lotwise.llm.rows import hash_sample
 from lotwise.sources.scratch import materialize
 
 #: The bounded sample of labelled rows that the lexicon and the curve are fitted on.
@@ -159,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     """
     known = labels.select(F.col("doc_id").alias("label_id"), "toxic").where("toxic is not null and label_id is not null")
     known = known.where(~held_out(F.col("label_id"))).groupBy("label_id").agg(F.max("toxic").alias("toxic"))
-    known = known.orderBy(F.xxhash64("label_id"), "label_id").limit(sample_rows)
+    known = hash_sample(known, sample_rows, "label_id")
     texts = docs.select("doc_id", "text").where("text is not null")
     sample = materialize(texts.join(F.broadcast(known), F.col("doc_id") == F.col("label_id")).select("text", "toxic"), "toxic_sample")
     n_toxic, n_other = sample.agg(F.coalesce(F.sum((F.col("toxic") == 1).cast("long")), F.lit(0)),

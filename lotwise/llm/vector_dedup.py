@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lotwise.llm.graph import components, hang
 from lotwise.llm.multi_index import MultiIndex, main_size, matrix, sample, traverse, unit, usable
+from lotwise.llm.rows import hash_sample
 from lotwise.sources.scratch import materialize
 
 THRESHOLD = 0.93
@@ -143,7 +144,7 @@ def _count_links(left: pd.DataFrame, right: pd.DataFrame, threshold: float) -> p
 
 def _cells_to_visit(vertices: DataFrame, index: MultiIndex, threshold: float, recall: float) -> int:
     """Cells that reach the wanted share of the trial vectors' links, all found by comparing with every vector."""
-    trial = vertices.select("node", "label", "vector").orderBy(F.xxhash64("node"), "node").limit(TRIAL_VECTORS).collect()
+    trial = hash_sample(vertices.select("node", "label", "vector"), TRIAL_VECTORS, "node").collect()
     names, labels = np.array([r["node"] for r in trial]), np.array([r["label"] for r in trial])
     q = unit(np.array([r["vector"] for r in trial]))
     a, b = index.distances(q)
