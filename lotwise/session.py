@@ -7,12 +7,16 @@ import os
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: str | int | None = None, app: str = "lotwise", memory: str = "12g") -> SparkSession:
+def local_session(cpus: str | int | None = None, app: str = "lotwise", memory: str = "12g", events: str | None = None) -> SparkSession:
+    """``events`` names a folder for Spark's event log."""
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")
+    log = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{events}", "spark.eventLog.rolling.enabled": "false",
+           "spark.eventLog.compress": "false"} if events else {}
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.driver.memory", memory)
+        .config(map=log)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
