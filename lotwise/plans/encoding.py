@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lotwise.operators import encode as E
+from lotwise.operators.features import NUMERIC_FEATURES, TEXT_FEATURES
 from lotwise.operators.split import fold, train_test
 from lotwise.plans import sqltext as S
 from lotwise.plans.common import feature_table
@@ -55,8 +56,33 @@ def one_hot_wide(spark, sf_dir):
     return E.one_hot_wide(feature_table(spark, sf_dir, numbers=False, names=False), {"fuel_type_cleaned": _FUELS}, ["listing_id"])
 
 
+_SLOT_NUMBERS = ["annual_insurance", *[c for c in NUMERIC_FEATURES if c != "annual_insurance"]]
+
+
+def _value(c: str) -> str:
+    return f"(coalesce({c}, m_{c}) - m_{c}) / s_{c}" if c == "annual_insurance" else f"({c} - m_{c}) / s_{c}"
+
+
+def _slots_sql(rows: str, number: str, word: str) -> str:
+    """Every slot of the encoder fitted on the training part, in order, with a number for it from some rows.
+
+    ``number`` is an aggregate over {v}, the scaled value; ``word`` one over k rows of n with the slot's word.
+    """
+    numbers = " UNION ALL ".join(
+        f"SELECT {i} AS idx, '{'num_insurance__' if c == 'annual_insurance' else 'num_main__'}{c}' AS slot, {number.format(v=_value(c))} FROM part CROSS JOIN s"
+        for i, c in enumerate(_SLOT_NUMBERS))
+    long = " UNION ALL ".join(f"SELECT {i} AS g, '{c}' AS c, {c} AS v, seen FROM rows" for i, c in enumerate(TEXT_FEATURES))
+    return f"""WITH {S.FEATURES}, s AS (SELECT {", ".join(_stats(c) for c in _SLOT_NUMBERS)} FROM features {_TRAIN}),
+rows AS (SELECT *, {S.bucket('listing_id')} < 80 AS seen FROM features), part AS (SELECT * FROM rows WHERE {rows}),
+whole AS (SELECT count(*) AS n FROM part), long AS ({long}),
+slots AS (SELECT g, c, v, CAST({len(_SLOT_NUMBERS)} - 1 + row_number() OVER (ORDER BY g, v) AS INTEGER) AS idx FROM long WHERE seen GROUP BY 1, 2, 3),
+held AS (SELECT g, v, count(*) AS k FROM long WHERE {rows} GROUP BY 1, 2)
+{numbers} UNION ALL SELECT idx, 'cat__' || c || '_' || v, {word} FROM slots LEFT JOIN held USING (g, v) CROSS JOIN whole"""
+
+
 # share of ones and mean per slot of the full encoder output, fitted on the training part
-@plan("encoded_slots")
+@plan("encoded_slots", _slots_sql("NOT seen", "round(avg({v}), 6) AS mean, CAST(count(*) FILTER (WHERE {v} <> 0) AS DOUBLE) AS nonzero",
+                                  "round(coalesce(k, 0) / n, 6), CAST(coalesce(k, 0) AS DOUBLE)"))
 def encoded_slots(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
     from pyspark.ml.stat import Summarizer
@@ -71,6 +97,18 @@ def encoded_slots(spark, sf_dir):
     return one.select(F.posexplode(zipped).alias("idx", "z")).select("idx", "z.slot", F.round("z.mean", 6).alias("mean"), "z.nonzero")
 
 
+# slots that hardly vary in the training part
+@plan("low_variance_slots", f"""SELECT slot, variance, variance <= 0.001 AS low FROM ({_slots_sql(
+    "seen", "round(var_samp({v}), 4) AS variance", "round(coalesce(k, 0) * (n - coalesce(k, 0)) / (n * (n - 1.0)), 4)")})""")
+def low_variance_slots(spark, sf_dir):
+    from lotwise.operators.training import slot_variances
+
+    train, _ = train_test(feature_table(spark, sf_dir))
+    enc = E.fit_preprocessor(train)
+    out = slot_variances(enc.transform(train, ["listing_id"]), enc.names).select(F.col("name").alias("slot"), F.round("variance", 4).alias("variance"))
+    return out.withColumn("low", F.col("variance") <= 0.001)
+
+
 _PREDICTORS = ["price_log", "car_age", "mileage_log", "engine_size_cc_log"]
 
 

@@ -83,9 +83,8 @@ def principal_components(spark, sf_dir):
     return rows.select("listing_id", *[F.round(F.abs(vector_to_array("components")[i]), 4).alias(f"component_{i + 1}") for i in range(5)])
 
 
-_INPUTS = ["car_age", "car_age_squared", "mileage_num", "mileage_log", "engine_size_cc_num", "horse_power_num", "torque_num",
-           "acceleration_num", "seats_num"]
 _VAR = [c for c in NUMERIC_FEATURES if c != "annual_insurance"]
+_INPUTS = _VAR
 
 
 @plan("low_variance", f"WITH {S.FEATURES} " + " UNION ALL ".join(
