@@ -159,9 +159,10 @@ def coefficients(spark: SparkSession, model, names: list[str]) -> DataFrame:
 
 def eliminate(train: DataFrame, names: list[str], estimator_name: str = "forest", drop_share: float = 0.5, least: int = 10,
               **params) -> list[tuple[int, float, list[int]]]:
-    """Recursive elimination: fit, score by one held-out fold, drop the least important share, repeat.
+    """Recursive elimination: fit on all folds but one, score by the one left out, for every fold; drop the
+    least important share of the slots by their mean importance, repeat.
 
-    Returns (slots, R2, slot numbers) per round. Each round slices the written vectors, so no plan grows.
+    Returns (slots, mean R2, slot numbers) per round. Each round slices the written vectors, so no plan grows.
     """
     from pyspark.ml.feature import VectorSlicer
 
@@ -169,12 +170,19 @@ def eliminate(train: DataFrame, names: list[str], estimator_name: str = "forest"
     keep, rounds = list(range(len(names))), []
     while True:
         cut = VectorSlicer(inputCol="features", outputCol="kept", indices=keep).transform(train)
-        model = learner(estimator_name, features="kept", **params).fit(cut.where(F.col("fold") != 0))
-        rounds.append((len(keep), ev.evaluate(model.transform(cut.where(F.col("fold") == 0))), keep))
+        cut = cut.persist()
+        folds = sorted(r["fold"] for r in cut.select("fold").distinct().collect())
+        scores, weights = [], np.zeros(len(keep))
+        for f in folds:
+            model = learner(estimator_name, features="kept", **params).fit(cut.where(F.col("fold") != f))
+            scores.append(ev.evaluate(model.transform(cut.where(F.col("fold") == f))))
+            weights += model.featureImportances.toArray()
+        cut.unpersist()
+        rounds.append((len(keep), float(np.mean(scores)), keep))
         size = max(least, int(len(keep) * (1 - drop_share)))
         if size >= len(keep):
             return rounds
-        order = np.argsort(-model.featureImportances.toArray(), kind="stable")[:size]
+        order = np.argsort(-weights, kind="stable")[:size]
         keep = sorted(keep[i] for i in order)
 
 
