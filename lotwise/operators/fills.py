@@ -26,8 +26,20 @@ def mode_of(df: DataFrame, column: str):
     return None if best is None else best[column]
 
 
+def modes_of(df: DataFrame, columns: list[str]) -> dict[str, object]:
+    """``mode_of`` several columns; text columns share one pass."""
+    words = [c for c, t in df.dtypes if c in columns and t == "string"]
+    out = {c: mode_of(df, c) for c in columns if c in df.columns and c not in words}
+    if words:
+        long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in words])))
+        counts = long.where("value is not null").groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+        best = counts.groupBy("name").agg(F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("best")).collect()  # one row per column
+        out |= dict.fromkeys(words) | {r["name"]: r["best"]["value"] for r in best}
+    return out
+
+
 def fill_mode(df: DataFrame, columns: list[str]) -> DataFrame:
-    modes = {c: mode_of(df, c) for c in columns if c in df.columns}
+    modes = modes_of(df, columns)
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(m)) for c, m in modes.items() if m is not None})
 
 

@@ -89,7 +89,7 @@ SELECT listing_id, CASE WHEN price_log <= b1 THEN 'budget' WHEN price_log <= b2
 FROM features CROSS JOIN b""")
 def price_segment(spark, sf_dir):
     """Quartile bounds come from the training part only; the label is for analysis, it leaks the target."""
-    df = feature_table(spark, sf_dir).select("listing_id", "price_log")
+    df = feature_table(spark, sf_dir, names=False).select("listing_id", "price_log")
     train, _ = train_test(df)
     bounds = quantile_table(train, {"p": F.col("price_log")}, [0.25, 0.5, 0.75])["p"]
     return df.select("listing_id", prices.segment(F.col("price_log"), bounds, SEGMENTS).alias("price_segment"))
@@ -97,7 +97,7 @@ def price_segment(spark, sf_dir):
 
 @plan("interaction", f"""WITH {S.FEATURES} SELECT listing_id, round(engine_size_cc_num * horse_power_num, 4) AS engine_power FROM features""")
 def interaction(spark, sf_dir):
-    df = feature_table(spark, sf_dir)
+    df = feature_table(spark, sf_dir, names=False)
     return rounded(df.select("listing_id", (F.col("engine_size_cc_num") * F.col("horse_power_num")).alias("engine_power")), 4)
 
 

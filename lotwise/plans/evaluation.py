@@ -28,8 +28,10 @@ scored AS (SELECT test.*, exp(price_log) - 1 AS actual, exp(a + b * car_age) - 1
   FROM test CROSS JOIN line LEFT JOIN by_make ON g = make_name_cleaned)"""
 
 
-def _parts(spark, sf_dir):
-    return train_test(feature_table(spark, sf_dir))
+def _parts(spark, sf_dir, *columns: str, names: bool = False):
+    """Train and test part of the few columns a query needs, written once because models and metrics each read them."""
+    df = feature_table(spark, sf_dir, names=names).select("listing_id", "price_log", *columns)
+    return train_test(materialize(df, "parts"))
 
 
 def _predict(train, test, model: str):
@@ -55,7 +57,8 @@ _DIGITS = dict(mae=2, rmse=2, r2=6)
 for _name, _model in (("baseline_median", "median"), ("ols_metrics", "ols"), ("group_mean_metrics", "group_mean")):
     @plan(_name, f"{_SCORED} SELECT {_metrics_sql(_model)} FROM scored")
     def _metrics(spark, sf_dir, model=_model):
-        train, test = _parts(spark, sf_dir)
+        needed = {"ols": ["car_age"], "group_mean": ["make_name_cleaned"]}.get(model, [])
+        train, test = _parts(spark, sf_dir, *needed, names=model == "group_mean")
         return rounded(E.metrics(_predict(train, test, model)), 4, **_DIGITS)
 
 
@@ -64,21 +67,21 @@ SELECT p AS prob, round(quantile_cont(ape, p), 4) AS ape FROM e, (VALUES (0.25::
       .replace("SELECT p AS prob, round(quantile_cont(ape, p), 4) AS ape FROM e, (VALUES (0.25::DOUBLE), (0.5), (0.75), (0.9), (0.95)) v(p) GROUP BY p",
                " UNION ALL ".join(f"SELECT {p}::DOUBLE AS prob, round(quantile_cont(ape, {p}), 4) AS ape FROM e" for p in E.ERROR_PROBS)))
 def error_percentiles(spark, sf_dir):
-    train, test = _parts(spark, sf_dir)
+    train, test = _parts(spark, sf_dir, "make_name_cleaned", names=True)
     return rounded(E.error_percentiles(_predict(train, test, "group_mean")), 4)
 
 
 @plan("residual_bins", f"""{_SCORED} SELECT CAST(floor((group_mean - actual) / actual * 100 / 10.0) AS INTEGER) AS bin, count(*) AS rows,
   round(avg(group_mean - actual), 2) AS mean_residual FROM scored GROUP BY 1""")
 def residual_bins(spark, sf_dir):
-    train, test = _parts(spark, sf_dir)
+    train, test = _parts(spark, sf_dir, "make_name_cleaned", names=True)
     return rounded(E.residual_bins(_predict(train, test, "group_mean")), 2)
 
 
 @plan("residuals_by_price", f"""{_SCORED} SELECT floor(log10(actual) * 4) / 4 AS log10_from, count(*) AS rows, round(avg(actual), 2) AS mean_actual,
   round(avg(ols), 2) AS mean_predicted, round(avg(abs(actual - ols) / actual * 100), 2) AS mean_ape FROM scored GROUP BY 1""")
 def residuals_by_price(spark, sf_dir):
-    train, test = _parts(spark, sf_dir)
+    train, test = _parts(spark, sf_dir, "car_age")
     return rounded(E.residuals_by_price(_predict(train, test, "ols")), 2)
 
 
@@ -89,7 +92,7 @@ _SEGMENT = ("CASE WHEN price_log <= b1 THEN 'budget' WHEN price_log <= b2 THEN '
 x AS (SELECT scored.*, {_SEGMENT} AS segment FROM scored CROSS JOIN b)
 SELECT segment, fuel_type_cleaned, {_metrics_sql('ols')} FROM x GROUP BY ROLLUP (segment, fuel_type_cleaned)""")
 def error_by_segment(spark, sf_dir):
-    train, test = _parts(spark, sf_dir)
+    train, test = _parts(spark, sf_dir, "car_age", "fuel_type_cleaned")
     bounds = quantile_table(train, {"p": F.col("price_log")}, [0.25, 0.5, 0.75])["p"]
     scored = _predict(train, test, "ols").withColumn("segment", segment(F.col("price_log"), bounds, ["budget", "economy", "premium", "luxury"]))
     return rounded(E.metrics(scored, by=["segment", "fuel_type_cleaned"], rollup=True), 4, **_DIGITS)
@@ -108,7 +111,7 @@ h3 AS (SELECT a, e, r, (x * x + 11) % 2147483647 AS x FROM h2), w AS (SELECT a,
 s AS (SELECT r, 1 - sum(w * e) / (sum(w * a * a) - sum(w * a) * sum(w * a) / sum(w)) AS r2 FROM w GROUP BY r)
 SELECT count(*) AS replicates, round(avg(r2), 5) AS r2_mean, round(quantile_cont(r2, 0.025), 5) AS r2_low, round(quantile_cont(r2, 0.975), 5) AS r2_high FROM s""")
 def bootstrap_r2(spark, sf_dir):
-    train, test = _parts(spark, sf_dir)
+    train, test = _parts(spark, sf_dir, "car_age")
     scored = _predict(train, test, "ols").select("listing_id", "actual", "predicted")
     return rounded(E.bootstrap_interval(scored, 1000), 5)
 
@@ -130,7 +133,7 @@ def golden_ranges(spark, sf_dir):
 
 
 def _checked(spark, sf_dir):
-    train, test = _parts(spark, sf_dir)
+    train, test = _parts(spark, sf_dir, "make_name_cleaned", names=True)
     enough = F.count(F.lit(1)) >= 20
     mean = F.avg(invert_log(F.col("price_log")))
     expected = train.groupBy(F.col("make_name_cleaned").alias("case_id")).agg(
@@ -188,7 +191,7 @@ def inverse_variants(spark, sf_dir):
 @plan("linear_contributions", f"""{_SCORED}, m AS (SELECT avg(car_age) AS mean_age FROM train)
 SELECT listing_id, 'car_age' AS feature, round(b * (car_age - mean_age), 6) AS contribution FROM test CROSS JOIN line CROSS JOIN m""")
 def linear_contributions(spark, sf_dir):
-    train, test = _parts(spark, sf_dir)
+    train, test = _parts(spark, sf_dir, "car_age")
     slope, _ = M.line_fit(train, "car_age", "price_log")
     mean = train.agg(F.avg("car_age")).first()[0]
     return rounded(M.linear_contributions(test, {"car_age": slope}, {"car_age": mean}))
@@ -207,7 +210,7 @@ err AS (SELECT sqrt(avg(pow(price_log - ols, 2))) AS e1, sqrt(avg(pow(price_log
 SELECT listing_id, fold, round(ols, 6) AS ols, round(group_mean, 6) AS group_mean,
   round(ols * (1 / e1) / (1 / e1 + 1 / e2) + group_mean * (1 / e2) / (1 / e1 + 1 / e2), 6) AS blend FROM oof CROSS JOIN err""")
 def weighted_blend(spark, sf_dir):
-    train, _ = _parts(spark, sf_dir)
+    train, _ = _parts(spark, sf_dir, "car_age", "make_name_cleaned", names=True)
     train = train.select("listing_id", "car_age", "make_name_cleaned", "price_log", fold(F.col("listing_id")).alias("fold"))
     fits = M.line_fits_out_of_fold(train, "car_age", "price_log", "fold", 5)
     oof = target_encoding(train, "make_name_cleaned", "price_log", F.col("fold"), smooth=0.0)
