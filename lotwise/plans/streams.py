@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lotwise.functions.numbers import invert_log, to_number
-from lotwise.operators import models as M, requests as Q
+from lotwise.operators import models as M, registry as R, requests as Q
 from lotwise.operators.split import train_test
 from lotwise.plans import sqltext as S
 from lotwise.plans.common import feature_table
 from lotwise.plans.registry import AS_OF_YEAR, plan, rounded
-from lotwise.plans.scoring import _DERIVED, _RAW, _RULES
+from lotwise.plans.scoring import _DERIVED, _RAW, _RULES, registered_line
 from lotwise.sources.listings import listing_stream
 from lotwise.sources.scratch import new_path
 from lotwise.sources.tables import stream, table
@@ -30,7 +30,7 @@ def request_stream(spark, sf_dir):
 
 
 def _line(spark, sf_dir):
-    train, _ = train_test(feature_table(spark, sf_dir).select("listing_id", "car_age", "price_log"))
+    train, _ = train_test(feature_table(spark, sf_dir, names=False).select("listing_id", "car_age", "price_log"))
     return M.line_fit(train, "car_age", "price_log")
 
 
@@ -57,6 +57,17 @@ def stream_scores(spark, sf_dir):
     return rounded(C.read_scores(spark, _run_scores(spark, sf_dir)), 2, predicted_log=6)
 
 
+# valid requests scored by the newest registered version of a model
+@plan("stream_registry_scores", f"""{_SCORED} SELECT listing_id, round(exp(a + b * car_age) - 1, 1) AS predicted_price,
+  'line:20250101_000000' AS model_version FROM checked CROSS JOIN line WHERE violations = ''""")
+def stream_registry_scores(spark, sf_dir):
+    path = new_path(spark, "registry")
+    registered_line(spark, sf_dir, path)
+    entry = R.find(spark, path, "line")
+    out = C.score_stream(request_stream(spark, sf_dir), lambda df: R.score(df, entry, ["listing_id"], "now"), new_path(spark, "scores"))
+    return rounded(C.read_scores(spark, out).drop("scored_at"), 1)
+
+
 @plan("stream_quarantine", f"{_SCORED} SELECT listing_id, violations FROM checked WHERE violations <> ''")
 def stream_quarantine(spark, sf_dir):
     bad = C.read_scores(spark, _run_scores(spark, sf_dir), "quarantine")
