@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from lotwise.operators.features import FEATURES, NUMERIC_FEATURES, TARGET
 from lotwise.plans import sqltext as S
 from lotwise.plans.common import builder, feature_table
 from lotwise.plans.registry import plan, rounded
-from lotwise.operators.split import train_test
+from lotwise.operators.split import fold, train_test
 from lotwise.sources.listings import listings
 from lotwise.sources.scratch import materialize
 
@@ -56,9 +58,13 @@ def cv_scores(spark, sf_dir):
 
 @plan("hyper_search")
 def hyper_search(spark, sf_dir):
-    d = data(spark, sf_dir, text=["fuel_type_cleaned", "make_name_cleaned"])
-    grid = {"maxDepth": [4, 6, 8], "minInstancesPerNode": [1, 5], "maxBins": [16, 32]}
-    return T.search_table(spark, T.search(d.train, T.learner("tree"), grid, tries=4))
+    """A random search over a grid for each kind of tree model."""
+    d = data(spark, sf_dir)
+    grids = {"tree": ({"maxDepth": [4, 6, 8], "minInstancesPerNode": [1, 5], "maxBins": [16, 32]}, 3),
+             "forest": ({"numTrees": [10, 20], "maxDepth": [4, 6]}, 2), "boosting": ({"maxIter": [5, 10], "maxDepth": [3, 4]}, 2)}
+    tables = [T.search_table(spark, T.search(d.train, T.learner(name), grid, tries=tries)).withColumn("model", F.lit(name))
+              for name, (grid, tries) in grids.items()]
+    return reduce(lambda a, b: a.unionByName(b), tables)
 
 
 @plan("linear_coefficients")
@@ -105,7 +111,7 @@ def collinear_columns(spark, sf_dir):
 
 
 def _learners():
-    return {"linear": T.learner("linear"), "forest": T.learner("forest", numTrees=10, maxDepth=6)}
+    return {"linear": T.learner("linear"), "forest": T.learner("forest", numTrees=10, maxDepth=6), "boosting": T.learner("boosting", maxIter=5)}
 
 
 @plan("stacked_scores")
@@ -113,7 +119,23 @@ def stacked_scores(spark, sf_dir):
     d = data(spark, sf_dir)
     stack = stacking.fit_stack(d.train, _learners())
     out = stack.transform(d.test)
-    return rounded(out.select("listing_id", TARGET, "p_linear", "p_forest", "prediction"), 4)
+    return rounded(out.select("listing_id", TARGET, "p_linear", "p_forest", "p_boosting", "prediction"), 4)
+
+
+# base predictions with a closed form; the penalty's effect on the stack is checked by the normal equations of two inputs
+@plan("stack_penalties", f"""WITH {S.FEATURES}, t AS (SELECT *, {S.bucket('listing_id', 43, 5)} AS fold FROM features {_TRAIN_PART}),
+oof AS (SELECT fold, price_log AS y, car_age::DOUBLE AS x1, engine_size_cc_log AS x2 FROM t),
+parts AS (SELECT f, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) * count(*) AS s11, var_pop(x2) * count(*) AS s22, covar_pop(x1, x2) * count(*) AS s12,
+  covar_pop(x1, y) * count(*) AS s1y, covar_pop(x2, y) * count(*) AS s2y FROM oof, (SELECT unnest(range(5)) AS f) WHERE fold <> f GROUP BY f),
+grid AS (SELECT pow(10.0, e) AS penalty FROM (SELECT unnest(range(-6, 7)) AS e)),
+fits AS (SELECT f, penalty, m1, m2, my, ((s22 + penalty) * s1y - s12 * s2y) / ((s11 + penalty) * (s22 + penalty) - s12 * s12) AS b1,
+  ((s11 + penalty) * s2y - s12 * s1y) / ((s11 + penalty) * (s22 + penalty) - s12 * s12) AS b2 FROM parts CROSS JOIN grid)
+SELECT round(penalty, 6) AS penalty, round(sqrt(avg(pow(y - my - b1 * (x1 - m1) - b2 * (x2 - m2), 2))), 6) AS rmse FROM oof JOIN fits ON fold = f GROUP BY penalty""")
+def stack_penalties(spark, sf_dir):
+    train, _ = train_test(feature_table(spark, sf_dir, names=False).select("listing_id", TARGET, "car_age", "engine_size_cc_log"))
+    oof = train.select(TARGET, fold(F.col("listing_id")).alias("fold"), F.col("car_age").cast("double").alias("p_age"), F.col("engine_size_cc_log").alias("p_size"))
+    rows = stacking.ridge_errors(oof, ["age", "size"], [10.0 ** e for e in range(-6, 7)])
+    return rounded(spark.createDataFrame(rows, "penalty double, rmse double"))
 
 
 def _forest(spark, sf_dir):
@@ -174,7 +196,7 @@ _NEAR = ["car_age", "engine_size_cc_log", "horse_power_log"]
 
 def _scaled_parts(spark, sf_dir):
     from lotwise.operators.encode import scale_stats, scaled
-    from lotwise.operators.split import train_test
+    from lotwise.operators.split import fold, train_test
 
     df = feature_table(spark, sf_dir).select("listing_id", TARGET, *_NEAR)
     train, test = train_test(df)
