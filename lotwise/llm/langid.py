@@ -10,7 +10,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,6 +21,7 @@ SAMPLE_ROWS = 20000
 SLOTS = 1 << 16
 PENALTY = 8.0
 CHUNK_CHARS = 2 << 20
+BATCH = 1000
 #: Longer texts are decoded in stretches of so many words, each by itself.
 STRETCH = 4096
 HELD_OUT = (4, 2)
@@ -223,11 +223,16 @@ def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "lang
     Lang is the language of most letters, of equals the first by name; score is its share of the letters. A
     null text, one without letters, or a model without languages gives ``und``, 0 and no spans.
     """
-    @F.pandas_udf("lang string, score double, n_spans int, spans array<struct<lang:string,start:int,end:int>>")
-    def one(texts: pd.Series) -> pd.DataFrame:
-        rows = label_texts([t or "" for t in texts], model, with_spans)
+    span = pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+
+    @F.arrow_udf("lang string, score double, n_spans int, spans array<struct<lang:string,start:int,end:int>>")
+    def one(texts: pa.Array) -> pa.Array:
+        rows = []
+        for at in range(0, len(texts), BATCH):
+            rows += label_texts([t.as_py() or "" for t in texts.slice(at, BATCH)], model, with_spans)
         spans = [[{"lang": a, "start": b, "end": c} for a, b, c in r[3]] for r in rows]
-        return pd.DataFrame({"lang": [r[0] for r in rows], "score": [r[1] for r in rows],
-                             "n_spans": np.array([r[2] for r in rows], dtype="int32"), "spans": spans})
+        columns = [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64()),
+                   pa.array([r[2] for r in rows], pa.int32()), pa.array(spans, pa.list_(span))]
+        return pa.StructArray.from_arrays(columns, ["lang", "score", "n_spans", "spans"])
 
     return docs.withColumn(out, one(F.col(text)))

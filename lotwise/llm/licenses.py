@@ -11,7 +11,7 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.llm.license_texts import PHRASES, TEMPLATES
@@ -201,13 +201,15 @@ def scan(docs: DataFrame, text: str = "text", out: str = "licence") -> DataFrame
     commas), score (the largest share covered, 1 if there is a phrase) and spans (label, first_word,
     last_word, cover). A null text is an empty one: no words, labels or spans, and score 0.
     """
-    @F.pandas_udf("n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
-                  "spans array<struct<label:string,first_word:long,last_word:long,cover:double>>")
-    def one(texts: pd.Series) -> pd.DataFrame:
+    span = pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("cover", pa.float64())])
+
+    @F.arrow_udf("n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
+                 "spans array<struct<label:string,first_word:long,last_word:long,cover:double>>")
+    def one(texts: pa.Array) -> pa.Array:
         s = scanner()
         rows = []
         for t in texts:
-            n, places, chains = s.scan(t or "")
+            n, places, chains = s.scan(t.as_py() or "")
             base = {s.phrases[k][0] for _, k in places}
             both = base | {s.templates[c[2]][0] for c in chains}
             starts = [p for p, _ in places]
@@ -215,7 +217,7 @@ def scan(docs: DataFrame, text: str = "text", out: str = "licence") -> DataFrame
             rows.append((n, len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(both)),
                          1.0 if base else max((c[3] for c in chains), default=0.0), spans))
         names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
-        frame = pd.DataFrame(rows, columns=names)
-        return frame.astype({"n_words": "int64", "n_base": "int64", "first_word": "Int64", "last_word": "Int64", "score": "float64"})
+        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(span)]
+        return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
     return docs.withColumn(out, one(F.col(text)))

@@ -16,7 +16,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -133,16 +132,17 @@ def features(total: float, words: int) -> tuple[float, float]:
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:
     """Adds struct ``out`` (score 0 to 1, matches). A null or empty text has no match, which gives the least score."""
-    @F.pandas_udf("score double, matches int")
-    def one(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("score double, matches int")
+    def one(texts: pa.Array) -> pa.Array:
         automaton = _matched(model)
         a, b, c = model.curve
-        rows = []
+        scores, found = [], []
         for t in texts:
-            total, matches, words = weigh(t, automaton)
+            total, matches, words = weigh(t.as_py(), automaton)
             x, y = features(total, words)
-            rows.append((1.0 / (1.0 + math.exp(-max(-700.0, a + b * x + c * y))), matches))
-        return pd.DataFrame(rows, columns=["score", "matches"]).astype({"score": "float64", "matches": "int32"})
+            scores.append(1.0 / (1.0 + math.exp(-max(-700.0, a + b * x + c * y))))
+            found.append(matches)
+        return pa.StructArray.from_arrays([pa.array(scores, pa.float64()), pa.array(found, pa.int32())], ["score", "matches"])
 
     return docs.withColumn(out, one(F.col(text)))
 
