@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lotwise.llm.rows import hash_sample
+from lotwise.llm.rows import hash_sample, small_batches
 from lotwise.sources.scratch import materialize
 
 #: The bounded sample of rows with a language that scores are fitted on.
@@ -139,6 +139,7 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Trigram scores from the texts of at most ``sample_rows`` ids with a language, those of the smallest hash."""
+    small_batches(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     ids = hash_sample(known.select(F.col("doc_id").alias("_id")).distinct(), sample_rows, "_id")
     sample = materialize(known.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("text", "lang"), "lang_sample")
@@ -223,6 +224,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "lang
     Lang is the language of most letters, of equals the first by name; score is its share of the letters. A
     null text, one without letters, or a model without languages gives ``und``, 0 and no spans.
     """
+    small_batches(docs.sparkSession)
     span = pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 
     @F.arrow_udf("lang string, score double, n_spans int, spans array<struct<lang:string,start:int,end:int>>")

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.llm.license_texts import PHRASES, TEMPLATES
+from lotwise.llm.rows import small_batches
 
 #: ASCII letters and digits and all beyond ASCII; only A-Z are lower-cased.
 WORD = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")
@@ -201,6 +202,7 @@ def scan(docs: DataFrame, text: str = "text", out: str = "licence") -> DataFrame
     commas), score (the largest share covered, 1 if there is a phrase) and spans (label, first_word,
     last_word, cover). A null text is an empty one: no words, labels or spans, and score 0.
     """
+    small_batches(docs.sparkSession)
     span = pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("cover", pa.float64())])
 
     @F.arrow_udf("n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "

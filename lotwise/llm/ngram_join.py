@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lotwise.llm.graph import components, hang
-from lotwise.llm.rows import of, packed, unpacked
+from lotwise.llm.rows import of, packed, small_batches, unpacked
 from lotwise.llm.shingles import mixed, shingle_sets
 from lotwise.sources.scratch import materialize
 
@@ -212,6 +212,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     Two sets with a Jaccard of 0.8 begin alike in a fragment of 3 or more n-grams with a chance of 0.51, so
     the chance of fewer than 3 of 48 is 1e-12; smaller sets have more equal segments than differences.
     """
+    small_batches(docs.sparkSession)
     sets = materialize(gram_sets(docs), "gram_sets")
     vertices = sets.where("set_key is not null").groupBy("set_key").agg(
         F.first("n_shingles").alias("n"), F.first("heads").alias("heads"))

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from lotwise.llm.rows import small_batches
+
 LENGTH = 2048
 OPEN_BINS = 16384
 GROUP_ROWS = 8192
@@ -152,6 +154,7 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, open_bins: int = OPEN
     falling length, which leaves the last bins the only ones with room. An empty table gives no rows;
     repeated rows are packed as often as they occur, equal lengths in order of doc_id, piece and ids.
     """
+    small_batches(docs.sparkSession)
     groups = max(1, math.ceil(docs.count() / group_rows))
     cut = pieces(docs, path, length, groups, with_ids)
     schema = T.StructType([f for f in cut.schema.fields if f.name != "arrival_group"]

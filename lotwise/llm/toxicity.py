@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lotwise.llm.rows import hash_sample
+from lotwise.llm.rows import hash_sample, small_batches
 from lotwise.sources.scratch import materialize
 
 #: The bounded sample of labelled rows that the lexicon and the curve are fitted on.
@@ -132,6 +132,8 @@ def features(total: float, words: int) -> tuple[float, float]:
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:
     """Adds struct ``out`` (score 0 to 1, matches). A null or empty text has no match, which gives the least score."""
+    small_batches(docs.sparkSession)
+
     @F.arrow_udf("score double, matches int")
     def one(texts: pa.Array) -> pa.Array:
         automaton = _matched(model)
@@ -158,6 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     A learned term occurs in toxic rows after at least 4 different words (so copies of one text can't make
     it), and in toxic rows far oftener than in others. Without labelled rows the start list has its weight.
     """
+    small_batches(docs.sparkSession)
     known = labels.select(F.col("doc_id").alias("label_id"), "toxic").where("toxic is not null and label_id is not null")
     known = known.where(~held_out(F.col("label_id"))).groupBy("label_id").agg(F.max("toxic").alias("toxic"))
     known = hash_sample(known, sample_rows, "label_id")
@@ -220,7 +223,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 before = word
             label = int(toxic == 1)
             counts.update((term, label, at) for term, at in first.items())
-            if len(counts) > 200_000:
+            if len(counts) > 100_000:
                 yield full()
     yield full()
 
