@@ -58,14 +58,14 @@ def stream_scores(spark, sf_dir):
 
 
 # valid requests scored by the newest registered version of a model
-@plan("stream_registry_scores", f"""{_SCORED} SELECT listing_id, round(exp(a + b * car_age) - 1, 1) AS predicted_price,
+@plan("stream_registry_scores", f"""{_SCORED} SELECT listing_id, round(a + b * car_age, 6) AS predicted_log,
   'line:20250101_000000' AS model_version FROM checked CROSS JOIN line WHERE violations = ''""")
 def stream_registry_scores(spark, sf_dir):
     path = new_path(spark, "registry")
     registered_line(spark, sf_dir, path)
     entry = R.find(spark, path, "line")
     out = C.score_stream(request_stream(spark, sf_dir), lambda df: R.score(df, entry, ["listing_id"], "now"), new_path(spark, "scores"))
-    return rounded(C.read_scores(spark, out).drop("scored_at"), 1)
+    return rounded(C.read_scores(spark, out).select("listing_id", F.log1p("predicted_price").alias("predicted_log"), "model_version"))
 
 
 @plan("stream_quarantine", f"{_SCORED} SELECT listing_id, violations FROM checked WHERE violations <> ''")
