@@ -1,12 +1,16 @@
 """Licence scans with a generalised suffix automaton of template words.
 
 A text runs through the automaton once. Its matching statistics say at each word how long a match with some
-template ends there. Matches that can't be prolonged are chained, in the order of both text and template,
-into the part of the template that the text covers.
+template ends there. The matches with a template, in all its places, are chained by dynamic programming, in the
+order of both text and template, into the parts of the text that cover most of the template. Of templates
+that share their words in a text, the one that covers most of it stands.
 """
 
 from __future__ import annotations
 
+import bisect
+import itertools
+import math
 import re
 from dataclasses import dataclass, field
 
@@ -115,6 +119,19 @@ class Scanner:
             self.automaton.add(len(templates) + k, words)
         # states may have been split since, so look the phrases' states up at the end
         self.automaton.finish([(self._state(words), k, len(words)) for k, words in enumerate(lists)])
+        a = self.automaton
+        #: The state of the last words, LEAST_MATCH of them, of a state's strings, and where in which templates it ends.
+        self.short = list(range(len(a.link)))
+        for state in sorted(range(1, len(a.link)), key=a.longest.__getitem__):
+            if a.longest[a.link[state]] >= LEAST_MATCH:
+                self.short[state] = self.short[a.link[state]]
+        self.places: list[list[tuple[int, int]]] = [[] for _ in a.link]
+        for k, (_, text) in enumerate(templates):
+            state = 0
+            for at, word in enumerate(words_of(text), 1):
+                state = a.step[state][self.number[word]]
+                if at >= LEAST_MATCH:
+                    self.places[self.short[state]].append((k, at))
         self.known: dict[str, int] = {}
 
     def _state(self, words: list[int]) -> int:
@@ -140,7 +157,7 @@ class Scanner:
         ids = self.numbers(text)
         a = self.automaton
         places: list[tuple[int, int]] = []
-        matches: dict[int, list[tuple[int, int, int]]] = {}
+        runs: dict[tuple[int, int], list[list[int]]] = {}
         edge = np.flatnonzero(np.diff(np.concatenate([[0], (ids > 0).view(np.int8), [0]])))
         for low, high in zip(edge[::2].tolist(), edge[1::2].tolist()):
             if high - low < 2:
@@ -148,41 +165,108 @@ class Scanner:
             state = length = 0
             for at, word in enumerate(ids[low:high].tolist(), low):
                 following = a.step[state].get(word)
+                while following is None and state > 0:
+                    state = a.link[state]
+                    length = a.longest[state]
+                    following = a.step[state].get(word)
                 if following is None:
-                    if length >= LEAST_MATCH:
-                        self._note(matches, state, length, at)
-                    while following is None and state > 0:
-                        state = a.link[state]
-                        length = a.longest[state]
-                        following = a.step[state].get(word)
-                    if following is None:
-                        state = length = 0
-                        continue
+                    state = length = 0
+                    continue
                 state, length = following, length + 1
                 for number, size in a.phrases[state]:
                     if size <= length:
                         places.append((at + 1 - size, number))
-            if length >= LEAST_MATCH:
-                self._note(matches, state, length, high)
-        return len(ids), places, [c for k, found in matches.items() for c in self._chains(k, found)]
-
-    def _note(self, matches: dict, state: int, length: int, end: int) -> None:
-        for number, at in self.automaton.ends[state].items():
-            if number < len(self.templates):
-                matches.setdefault(number, []).append((end - length, end, at - length))
-
-    def _chains(self, number: int, found: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
-        """Matches of a template in order of the text; one that goes back in the template starts anew."""
-        out, first, last, reached, covered = [], 0, -1, 0, 0
-        for start, end, place in [*found, (1 << 60, 0, 0)]:
-            if last >= 0 and (place + (end - start) <= reached or start - last > LARGEST_GAP):
-                out.append((first, last - 1, number, min(1.0, covered / self.sizes[number])))
-                last = -1
-            if last < 0:
-                first, reached, covered = start, place, 0
-            covered += place + (end - start) - max(place, reached)
-            last, reached = end, place + (end - start)
-        return [c for c in out if c[3] >= LEAST_COVER]
+                if length >= LEAST_MATCH:
+                    self._prolong(runs, state, at + 1)
+        matches: dict[int, list[tuple[int, int, int]]] = {}
+        for (number, shift), found in runs.items():
+            matches.setdefault(number, []).extend((start, end, start + shift) for start, end in found)
+        return len(ids), places, self._distinct([c for k, found in matches.items() for c in self._chains(k, sorted(found))])
+
+    def _prolong(self, runs: dict[tuple[int, int], list[list[int]]], state: int, end: int) -> None:
+        """The matches that end here, in all places of all templates, by template and shift against the text."""
+        for number, place in self.places[self.short[state]]:
+            found = runs.setdefault((number, place - end), [])
+            if found and found[-1][1] == end - 1:
+                found[-1][1] = end
+            else:
+                found.append([end - LEAST_MATCH, end])
+
+    def _chains(self, number: int, found: list[tuple[int, int, int]]) -> list[tuple[int, int, list[tuple[int, int]]]]:
+        """The chains of a template that cover most words together, none in the text of another.
+
+        ``found`` has all matches with the template as (start, end, place), by rising start. A chain goes
+        on in text and template; of a match that overlaps the one before in either, the rest counts. A
+        chain is (template, words covered, their stretches of the text).
+        """
+        size = self.sizes[number]
+        least = math.ceil(LEAST_COVER * size - 1e-9)
+        seen = bytearray(size)
+        for start, end, place in found:
+            seen[place:place + end - start] = b"\1" * (end - start)
+        if sum(seen) < least:
+            return []
+        whole = []
+        for k, (first, _, place) in enumerate(found):
+            if place <= size - least:
+                whole += [(c[0], first, c) for c in self._from(found, k) if c[2] >= least]
+        whole.sort(key=lambda w: w[:2])
+        # chains that don't overlap, by end: the best of those up to each, as (covered, words passed, chains)
+        ends, best = [0], [(0, 0, None)]
+        for end, start, chain in whole:
+            before = best[bisect.bisect_right(ends, start) - 1]
+            new = (before[0] + chain[2], before[1] + start - end, (before[2], chain))
+            if new[:2] > best[-1][:2]:
+                ends.append(end)
+                best.append(new)
+        out, last = [], best[-1][2]
+        while last:
+            last, chain = last
+            covered, parts = chain[2], []
+            while chain:
+                end, _, most, chain = chain
+                parts.append((end - most + (chain[2] if chain else 0), end))
+            out.append((number, covered, parts[::-1]))
+        return out[::-1]
+
+    @staticmethod
+    def _from(found: list[tuple[int, int, int]], k: int) -> list[tuple]:
+        """(end, place reached, most words covered, before) of the chains that begin with a match; a later end covers more."""
+        start, end, place = found[k]
+        open_, furthest = [(end, place + end - start, end - start, None)], end
+        out = list(open_)
+        for start, end, place in found[k + 1:]:
+            if start - furthest > LARGEST_GAP:
+                break
+            open_ = [c for c in open_ if start - c[0] <= LARGEST_GAP]
+            reached, most, before = place + end - start, 0, None
+            for c in open_:
+                if c[0] < end and c[1] < reached:
+                    covered = c[2] + min(end - max(start, c[0]), reached - max(place, c[1]))
+                    if covered > most:
+                        most, before = covered, c
+            if before:
+                open_.append((end, reached, most, before))
+                out.append(open_[-1])
+                furthest = max(furthest, end)
+        best, rising = 0, []
+        for c in sorted(out, key=lambda c: (c[0], -c[2])):
+            if c[2] > best:
+                best = c[2]
+                rising.append(c)
+        return rising
+
+    def _distinct(self, chains: list[tuple[int, int, list[tuple[int, int]]]]) -> list[tuple[int, int, int, float]]:
+        """Chains of which half the words or more aren't those of a better one, which covers more words, or as many of fewer."""
+        order = lambda c: (-c[1], self.sizes[c[0]])
+        taken: set[int] = set()
+        out = []
+        for _, equal in itertools.groupby(sorted(chains, key=order), order):
+            kept = [c for c in equal if 2 * sum(w in taken for low, high in c[2] for w in range(low, high)) <= c[1]]
+            for number, covered, parts in kept:
+                taken.update(w for low, high in parts for w in range(low, high))
+                out.append((parts[0][0], parts[-1][1] - 1, number, covered / self.sizes[number]))
+        return out
 
 
 _SCANNERS: list[Scanner] = []

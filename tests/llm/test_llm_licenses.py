@@ -80,3 +80,69 @@ def test_odd_rows(odd):
     got = check(odd([(i, t, "en", "s") for i, t in enumerate(texts)] + [(4, texts[4], "en", None), (None, "cc by", "en", "s")]))
     assert got[0].score == 0.0 and got[0].labels == "" and got[2].score == 1.0 and got[7].n_base == 50000
     assert scan(odd([])).count() == 0
+
+
+def covered(template, text):
+    """Most words of a common subsequence whose pairs are in equal runs of three words or more."""
+    n, m = len(template), len(text)
+    run = {}
+    for i in range(n):
+        for j in range(m):
+            if template[i] == text[j]:
+                run[i, j] = run.get((i - 1, j - 1), 0) + 1
+    long = {(i - k, j - k) for (i, j), size in run.items() if size >= 3 for k in range(size)}
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n):
+        for j in range(m):
+            best[i + 1][j + 1] = best[i][j] + 1 if (i, j) in long else max(best[i][j + 1], best[i + 1][j])
+            best[i + 1][j + 1] = max(best[i + 1][j + 1], best[i][j + 1], best[i + 1][j])
+    return best[n][m]
+
+
+def test_one_word_more_or_changed_anywhere():
+    scanner = Scanner()
+    text = "and THE SOFTWARE IS PROVIDED".join(TEMPLATES[0][1].split("THE SOFTWARE IS PROVIDED"))
+    assert [c[3] for c in scanner.scan(text)[2] if c[2] == 0] == [1.0]
+    assert any(c[2] == 0 and c[3] > 0.98 for c in scanner.scan(TEMPLATES[0][1].replace("furnished", "provided"))[2])
+    for k, (_, template) in enumerate(TEMPLATES):
+        words = words_of(template)
+        if len(words) < 15:
+            continue
+        for at in range(len(words)):
+            for new in ("and", "provided", "zzz"):
+                for changed, lost in ((words[:at] + [new] + words[at:], 4), (words[:at] + [new] + words[at + 1:], 5)):
+                    covers = [c[3] for c in scanner.scan(" ".join(changed))[2] if c[2] == k]
+                    assert len(covers) == 1 and covers[0] >= (len(words) - lost) / len(words), (k, at, new)
+
+
+def test_chains_cover_as_much_as_brute_force():
+    rng = random.Random(6)
+    hits = 0
+    for _ in range(400):
+        template = [rng.choice("abcd") for _ in range(rng.randrange(5, 16))]
+        text = list(template)
+        for _ in range(rng.randrange(0, 4)):
+            at = rng.randrange(len(text))
+            text[at:at + rng.randrange(2)] = [rng.choice("abcde") for _ in range(rng.randrange(3))]
+        text = [rng.choice("abcde") for _ in range(4)] + text
+        chains = Scanner((("t", " ".join(template)),), ()).scan(" ".join(text))[2]
+        most = covered(template, text) / len(template)
+        assert bool(chains) == (most >= 0.8)
+        if chains and len(chains) == 1:
+            assert chains[0][3] == most
+            hits += 1
+    assert hits > 100
+
+
+def test_matches_of_one_template_survive_longer_ones_of_another():
+    scanner = Scanner((("x", "p q r s t u v w"), ("y", "q r s t m n o k l")), ())
+    assert [(scanner.templates[c[2]][0], c[0], c[1], c[3]) for c in scanner.scan("p q r s t u m n o k l")[2]] == [("y", 1, 10, 1.0)]
+
+
+def test_shared_words_count_for_the_template_that_covers_most():
+    scanner = Scanner()
+    for label, text in TEMPLATES:
+        assert [scanner.templates[c[2]][0] for c in scanner.scan(text)[2]] == [label]
+    mit, apache = words_of(TEMPLATES[0][1]), words_of(next(t for label, t in TEMPLATES if label == "apache-2.0" and len(t) < 80))
+    found = scanner.scan(" ".join(mit[:90] + apache + mit[90:]))[2]
+    assert sorted((scanner.templates[c[2]][0], c[3]) for c in found) == [("apache-2.0", 1.0), ("mit", 1.0)]
