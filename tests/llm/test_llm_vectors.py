@@ -147,3 +147,39 @@ def test_links_of_real_vectors(spark):
     got = {r.vec_id: r.n_links for r in near_duplicates(rows).collect()}
     found = np.array([got[r.vec_id] for r in data])
     assert (found <= want).all() and found.sum() >= 0.99 * want.sum()
+
+
+def spread_pairs(rng, n, cosine=0.932, size=16):
+    """Vectors in all directions, each beside one that is just close enough."""
+    x = rng.normal(size=(n, size))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u = rng.normal(size=(n, size))
+    u -= (u * x).sum(1)[:, None] * x
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    return np.concatenate([x, cosine * x + math.sqrt(1 - cosine * cosine) * u])
+
+
+def found_of(spark, vectors):
+    """Per vector the links found and those there are."""
+    x = np.float32(vectors).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.93).sum(1) - 1
+    got = {r.vec_id: r.n_links for r in near_duplicates(table(spark, [(k, v.tolist(), 1) for k, v in enumerate(vectors)])).collect()}
+    return np.array([got[k] for k in range(len(x))]), want
+
+
+def test_pairs_beside_a_large_group_are_found(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=16)
+    group = base + 0.01 * rng.normal(size=(2000, 16))
+    found, want = found_of(spark, np.concatenate([spread_pairs(rng, 2500), group]))
+    assert (found <= want).all() and (found[5000:] >= 0.99 * want[5000:]).all()
+    assert found[:5000].sum() >= 0.99 * want[:5000].sum()
+
+
+def test_rare_pairs_are_found(spark, monkeypatch):
+    monkeypatch.setattr("lotwise.llm.vector_dedup.TRIAL_VECTORS", 8)
+    monkeypatch.setattr("lotwise.llm.vector_dedup.MOST_TRIAL_VECTORS", 32, raising=False)
+    rng = np.random.default_rng(9)
+    found, want = found_of(spark, np.concatenate([spread_pairs(rng, 100), rng.normal(size=(6000, 16))]))
+    assert want.sum() >= 200 and (found == want).all()
