@@ -1,7 +1,8 @@
 """Surrogates for personal data: keyed, of the same type, format, script and gender, and distinct.
 
 Entities are found per text and brought to a normal form. Each distinct form of the corpus gets one
-surrogate from a keyed hash, so all mentions of it, in any text and format, agree. A check over the corpus
+surrogate from a keyed hash, so all mentions of it, in any text and format, agree. A name is found after a
+title, and by its capitalised words in the rest of the same text. A check over the corpus
 finds forms that would share a surrogate, or get one that is itself a real form; they are hashed again
 until all surrogates differ.
 """
@@ -27,6 +28,8 @@ _NAME_WORD = r"\p{Lu}[\p{L}'’-]+"
 TITLES = {"m": "Mr|Sir|Herr|Monsieur|Señor|Sr|г-н|господин|Κύριος", "f": "Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Señora|Sra|г-жа|госпожа|Κυρία",
           "x": "Dr|Prof"}
 NAME = rf"(?<!\w)(?:{'|'.join(TITLES.values())})\.? {_NAME_WORD}(?: {_NAME_WORD}){{0,2}}"
+#: What may follow a name without being a part of it.
+NAME_END = r"(?:['’][sS])?['’-]*$"
 KINDS = {"email": EMAIL, "ip": IP, "ssn": SSN, "card": CARD, "iban": IBAN, "phone": PHONE, "name": NAME}
 #: What every entity has: a digit beside a digit or a sign, an @, or a title.
 HINT = rf"@|[0-9][0-9.() -]|(?:{'|'.join(TITLES.values())})\.? \p{{Lu}}"
@@ -86,7 +89,31 @@ def entities(text: Column) -> Column:
 
     Leftmost first, and as long as the patterns have it. Kinds of name
     words say which they are and whose: ``given_m``, ``given_f``, ``given_x`` or ``family``.
+    Capitalised words equal to one of them follow, of the kind it has first.
     """
+    # an array of one, so that what is found first is worked out once
+    return F.transform(F.array(_titled_entities(text)), lambda known: F.concat(known, _further_names(text, known)))[0]
+
+
+def _further_names(text: Column, known: Column) -> Column:
+    """Spans of the text's names that stand without a title and in no other entity."""
+    names = F.filter(known, lambda s: s["kind"].rlike("^(?:given|family)"))
+    forms = F.array_distinct(F.transform(names, lambda s: F.lower(s["value"])))
+    words = F.transform(located(text, rf"(?<![\p{{L}}\p{{N}}_]){_NAME_WORD}", ""), _trimmed)
+    free = lambda s: ~F.exists(known, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"]))
+    again = F.filter(words, lambda s: F.array_contains(forms, F.lower(s["value"])) & free(s))
+    typed = F.transform(again, lambda s: F.struct(F.filter(names, lambda n: F.lower(n["value"]) == F.lower(s["value"]))[0]["kind"].alias("kind"),
+                                                  s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
+    return F.when(F.size(names) > 0, typed).otherwise(F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>"))
+
+
+def _trimmed(span: Column) -> Column:
+    """A span of a name without a possessive ending."""
+    value = F.regexp_replace(span["value"], NAME_END, "")
+    return F.struct(span["kind"].alias("kind"), span["start"].alias("start"), (span["start"] + F.length(value)).alias("end"), value.alias("value"))
+
+
+def _titled_entities(text: Column) -> Column:
     found = located(text, "|".join(f"(?:{p})" for p in KINDS.values()), "", hint=HINT)
     typed = F.transform(found, lambda s: F.struct(_kind(s["value"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
     plain = F.filter(typed, lambda s: s["kind"].isNotNull() & (s["kind"] != "name"))
@@ -101,7 +128,7 @@ def entities(text: Column) -> Column:
             (s["start"] + skip + F.length(F.array_join(F.slice(parts, 1, i), " ")) + F.when(i > 0, 1).otherwise(0)).alias("start"),
             (s["start"] + skip + F.length(F.array_join(F.slice(parts, 1, i + 1), " "))).alias("end"), w.alias("value")))
 
-    return F.concat(plain, F.flatten(F.transform(F.filter(typed, lambda s: s["kind"] == "name"), words)))
+    return F.concat(plain, F.flatten(F.transform(F.filter(typed, lambda s: s["kind"] == "name"), lambda s: F.transform(words(s), _trimmed))))
 
 
 def normal_form(kind: Column, value: Column) -> Column:

@@ -63,3 +63,16 @@ def test_real_documents_keep_no_entity(documents):
         for a, b in zip(old, new):
             assert pairs.setdefault(a, b) == b != a
     assert mentions > 10 and len(set(pairs.values())) == len(pairs)
+
+
+def test_names_are_replaced_where_they_stand_without_title(odd):
+    texts = ["Mr. John Smith called. Smith said JOHN's and Smith’s smith, Smithson, Smith@acme.com",
+             "Smith waits for Prof. Smith's son", "г-жа Анна Петрова: Петрова и Анна", "Smith and John"]
+    out = {r.doc_id: r for r in pseudonymize(odd([(i, t, "en", "s") for i, t in enumerate(texts)]), "key").collect()}
+    one = re.fullmatch(r"Mr\. (\w+) (\w+) called\. (\w+) said (\w+)'s and (\w+)’s smith, Smithson, ([a-zA-Z]{5})@\w+\.com", out[0].text)
+    assert one and one[2] == one[3] == one[5] and one[4] == one[1].upper() and not {"John", "Smith"} & set(one.groups())
+    assert out[1].text == f"{one[2]} waits for Prof. {one[2]}'s son"
+    two = re.fullmatch(r"г-жа (\w+) (\w+): (\w+) и (\w+)", out[2].text)
+    assert two and two[2] == two[3] != "Петрова" and two[1] == two[4] != "Анна"
+    assert [texts[0][e.start:e.end] for e in out[0].entities] == ["John", "Smith", "Smith", "JOHN", "Smith", "Smith@acme.com"]
+    assert out[3].text == texts[3]
