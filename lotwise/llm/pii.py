@@ -9,7 +9,7 @@ until all surrogates differ.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lotwise.llm.rows import of, packed, unpacked
 from lotwise.llm.secrets import located
@@ -175,7 +175,9 @@ def _surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
                      F.lit("@"), F.translate(F.substring(_draw(key, F.regexp_extract(norm, "@(.*)$", 1)), 1, 8), "0123456789", "ghijklmnop"), tail)
     body = F.concat(F.substring(norm, 1, 1), F.substr(digits, F.lit(1), size - 2))
     check = F.pmod(10 - luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10))
-    ip = F.concat_ws(".", F.lit("10"), *[_number(draw, at, 256).cast("string") for at in (1, 13, 25)])
+    # private addresses first; once these run short, those that are reserved for later use, 15 times as many
+    ip = F.concat_ws(".", F.when(attempt == 0, F.lit("10")).otherwise((_number(draw, 37, 15) + 240).cast("string")),
+                     *[_number(draw, at, 256).cast("string") for at in (1, 13, 25)])
     phone = F.concat(F.substring(norm, 1, 1), (_number(draw, 49, 8) + 2).cast("string"), F.substr(digits, F.lit(1), size - 2))
     iban = F.concat(F.substring(norm, 1, 2), F.substr(digits, F.lit(1), size - 2))
     out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", F.concat(body, check.cast("string"))).when(
@@ -216,8 +218,9 @@ def surrogates(forms: DataFrame, key: str) -> DataFrame:
         free = tried.join(real, ["class", "surrogate"], "left_anti")
         if settled is not None:
             free = free.join(settled.select("class", "surrogate"), ["class", "surrogate"], "left_anti")
-        first = Window.partitionBy("class", "surrogate").orderBy("norm", "kind")
-        won = free.withColumn("turn", F.row_number().over(first)).where("turn = 1").select("kind", "norm", "class", "surrogate")
+        # few surrogates are listed for many names: a least value is found in the tasks before the shuffle
+        won = free.groupBy("class", "surrogate").agg(F.min(F.struct("norm", "kind")).alias("first")).select(
+            "first.kind", "first.norm", "class", "surrogate")
         settled = materialize(won if settled is None else settled.unionByName(won), "surrogates")
         todo = materialize(forms.select("kind", "norm", family.alias("class")).join(settled, ["kind", "norm"], "left_anti"), "unsettled")
         if not todo.take(1):

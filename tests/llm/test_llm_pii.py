@@ -3,7 +3,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lotwise.llm.pii import luhn_sum, pseudonymize, surrogates
+from lotwise.llm.pii import IP, _surrogate, luhn_sum, pseudonymize, surrogates
+from lotwise.sources.scratch import materialize
 
 
 def test_formats_scripts_and_coreference(odd):
@@ -76,3 +77,20 @@ def test_names_are_replaced_where_they_stand_without_title(odd):
     assert two and two[2] == two[3] != "Петрова" and two[1] == two[4] != "Анна"
     assert [texts[0][e.start:e.end] for e in out[0].entities] == ["John", "Smith", "Smith", "JOHN", "Smith", "Smith@acme.com"]
     assert out[3].text == texts[3]
+
+
+def test_addresses_have_more_room_on_later_tries(spark):
+    forms = spark.range(2000).select(F.concat(F.lit("1.2.3."), F.col("id")).alias("norm"))
+    made = [[r[0] for r in forms.select(_surrogate("k", F.lit("ip"), F.col("norm"), F.lit(k))).collect()] for k in (0, 1, 2)]
+    assert {a.split(".")[0] for a in made[0]} == {"10"}
+    for again in made[1:]:
+        assert {int(a.split(".")[0]) for a in again} == set(range(240, 255))
+        assert all(re.fullmatch(IP, a) for a in again)
+
+
+def test_names_of_one_surrogate_are_combined_before_the_shuffle(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr("lotwise.llm.pii.materialize", lambda d, name: (plans.append(d._jdf.queryExecution().executedPlan().toString()), materialize(d, name))[1])
+    forms = spark.createDataFrame([("family", f"name{k}") for k in range(50)], "kind string, norm string")
+    assert surrogates(forms, "k").count() == 50
+    assert plans and not any("Window" in p for p in plans)
