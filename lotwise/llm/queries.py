@@ -82,6 +82,15 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotwise.llm.infill import fill_in_middle, restore
+
+    fim = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = restore(F.col("fim.output"), F.col("fim.form"))
+    return fim.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+                      F.sha2("fim.output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_nearest": op2_nearest,
@@ -93,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_ngram_join": op10_ngram_join,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 _COMPONENTS = """reach(id, root) AS (SELECT id, id FROM nodes UNION SELECT r.id, e.b FROM reach r JOIN edges e ON e.a = r.root)"""
 
@@ -109,11 +119,22 @@ counts AS (SELECT a AS id, count(*) AS n FROM edges GROUP BY 1)
 SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept FROM least LEFT JOIN counts USING (id)""",
     # all pairs of documents that share a shingle
     "op10_ngram_join": rf"""WITH RECURSIVE words AS (SELECT doc_id AS id, list_filter(string_split_regex(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda x: x <> '') AS w FROM documents),
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda x: x <> '') AS w FROM documents),
 grams AS (SELECT DISTINCT id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
 nodes AS (SELECT id, count(g) AS n FROM words LEFT JOIN grams USING (id) GROUP BY 1),
 shared AS (SELECT x.id AS a, y.id AS b, count(*) AS k FROM grams x JOIN grams y ON x.g = y.g AND x.id <> y.id GROUP BY 1, 2),
 edges AS (SELECT a, b FROM shared JOIN nodes p ON p.id = a JOIN nodes q ON q.id = b WHERE 100 * k >= 80 * (p.n + q.n - k)),
 {_COMPONENTS}
 SELECT id AS doc_id, n AS n_shingles, min(root) AS component_id FROM reach JOIN nodes USING (id) GROUP BY 1, 2""",
+    "op12_fill_in_middle": """WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+draws AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+  CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM docs),
+cuts AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM draws),
+parts AS (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS post FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || post || '<M>' || mid
+    ELSE '<S>' || post || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM parts""",
 }
