@@ -98,7 +98,8 @@ def restored(output: bytes, form: str, sentinels: tuple[str, str, str] = SENTINE
 def _check(sentinels: tuple[str, str, str]) -> None:
     """Sentinels that overlap could be found where none was put in."""
     apart = all(a[-k:] != b[:k] for a in sentinels for b in sentinels for k in range(1, min(len(a), len(b))))
-    if not all(sentinels) or not apart or any(a in b for a in sentinels for b in sentinels if a is not b):
+    within = any(sentinels[i] in sentinels[j] for i in range(3) for j in range(3) if i != j)
+    if not all(sentinels) or not apart or within:
         raise ValueError(f"sentinels {sentinels} are empty, equal, parts of each other or overlap")
 
 
