@@ -91,6 +91,13 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("fim.output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotwise.llm.token_counts import count_tokens, tokenizer_path
+
+    out = count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    return out.select("doc_id", "tokens.n_bytes", "tokens.n_tokens", "tokens.over_limit")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_nearest": op2_nearest,
@@ -103,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_ngram_join": op10_ngram_join,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_token_counts": op13_token_counts,
 }
 _COMPONENTS = """reach(id, root) AS (SELECT id, id FROM nodes UNION SELECT r.id, e.b FROM reach r JOIN edges e ON e.a = r.root)"""
 
