@@ -82,6 +82,12 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lotwise.llm.alignment import align, tokenizer_paths
+
+    return align(table(spark, sf_dir, "documents"), *tokenizer_paths()).documents().drop("groups")
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lotwise.llm.infill import fill_in_middle, restore
 
@@ -109,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_ngram_join": op10_ngram_join,
+    "op11_alignment": op11_alignment,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_token_counts": op13_token_counts,
 }
