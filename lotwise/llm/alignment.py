@@ -277,8 +277,8 @@ class Alignment:
     def documents(self) -> DataFrame:
         totals = self.pair_counts().select("pair", "n", "best")
         pairs = self.parts.where("pair is not null").select("block", "pair").join(totals, "pair").select("block", "pair", "n", "best")
-        rows = self.parts.where("pair is null").drop("pair", "held")
-        return rows.groupBy("block").cogroup(pairs.groupBy("block")).applyInArrow(_scored, _OUT_COLUMNS)
+        rows = self.parts.where("pair is null").drop("pair", "held").withColumnRenamed("block", "own_block")
+        return rows.groupBy("own_block").cogroup(pairs.groupBy("block")).applyInArrow(_scored, _OUT_COLUMNS)
 
 
 def align(docs: DataFrame, path_a: str, path_b: str, with_groups: bool = False) -> Alignment:

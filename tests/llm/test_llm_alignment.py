@@ -103,9 +103,9 @@ def test_entries_come_back(entries):
 
 
 def test_documents(documents, two, plain):
-    rows = [(r.doc_id, r.text) for r in documents.collect()]
-    want, _ = whole(two, plain, rows)
-    assert results(documents) == want
+    docs = documents.where("text is null or length(text) < 4000")  # brute force compares all tokens of a text
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert len(rows) > 100 and results(docs) == whole(two, plain, rows)[0]
 
 
 def test_counts_over_many_blocks(spark, documents, two, plain, monkeypatch):
