@@ -15,6 +15,7 @@ _PRIME = 2147483647
 #: Cumulative Poisson(1) probabilities of 0, 1, 2, ... draws, as far as the hash tells them from 1.
 POISSON_1 = list(accumulate(math.exp(-1) / math.factorial(k) for k in range(13)))
 KEY_SEED = 23
+TASK_DRAWS = 50_000_000
 
 
 def percent_error(actual: Column, predicted: Column) -> Column:
@@ -75,26 +76,43 @@ def residuals_by_price(df: DataFrame, per_decade: int = 4, actual: str = "actual
         F.avg(percent_error(a, p)).alias("mean_ape"))
 
 
-def poisson_weight(key: Column, replicate: Column) -> Column:
-    """Poisson(1) draw for (row, replicate) from whole-number arithmetic that any SQL engine repeats."""
-    x = hash_unit(key, KEY_SEED) % _PRIME
-    x = (x * 48271 + replicate * 69621 + 12345) % _PRIME
+def _row_number(key: Column) -> Column:
+    return hash_unit(key, KEY_SEED) % _PRIME
+
+
+def _draw(row: Column, replicate: Column) -> Column:
+    """A number below the prime for (row, replicate), by whole-number arithmetic that any SQL engine repeats."""
+    x = (row * 48271 + replicate * 69621 + 12345) % _PRIME
     x = (x * x + replicate) % _PRIME
     x = (x * 16807 + 7) % _PRIME
-    x = (x * x + 11) % _PRIME
+    return (x * x + 11) % _PRIME
+
+
+def _draws_to_weight(x: Column) -> Column:
     weight = F.lit(len(POISSON_1))
     for draws in reversed(range(len(POISSON_1))):
         weight = F.when(x < int(POISSON_1[draws] * _PRIME), draws).otherwise(weight)
     return weight
 
 
+def poisson_weight(key: Column, replicate: Column) -> Column:
+    """Poisson(1) draw for (row, replicate)."""
+    return _draws_to_weight(_draw(_row_number(key), replicate))
+
+
 def bootstrap_r2(df: DataFrame, key: str = "listing_id", replicates: int = 1000,
                  actual: str = "actual", predicted: str = "predicted") -> DataFrame:
-    """R2 of each Poisson resample. Rows fan out inside the task and collapse before the shuffle."""
+    """R2 of each Poisson resample. Rows fan out inside the task and collapse before the shuffle.
+
+    The rows are dealt to tasks of about ``TASK_DRAWS`` draws each, whatever files they come from; a row's hash
+    is worked out once, before it fans out.
+    """
     a, p = F.col(actual), F.col(predicted)
-    fan = df.select(F.col(key).alias("k"), a.alias("a"), F.pow(a - p, 2).alias("e"),
-                    F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
-    fan = fan.select("replicate", "a", "e", poisson_weight(F.col("k"), F.col("replicate").cast("bigint")).alias("w"))
+    rows = df.select(_row_number(F.col(key)).alias("k"), a.alias("a"), F.pow(a - p, 2).alias("e"))
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() * replicates / TASK_DRAWS))
+    fan = rows.repartition(tasks, "k").select("k", "a", "e", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
+    fan = fan.select("replicate", "a", "e", _draw(F.col("k"), F.col("replicate").cast("bigint")).alias("x"))
+    fan = fan.select("replicate", "a", "e", _draws_to_weight(F.col("x")).alias("w"))
     sums = fan.where(F.col("w") > 0).groupBy("replicate").agg(
         F.sum("w").alias("n"), F.sum(F.col("w") * F.col("a")).alias("y"),
         F.sum(F.col("w") * F.col("a") * F.col("a")).alias("yy"), F.sum(F.col("w") * F.col("e")).alias("e"))
