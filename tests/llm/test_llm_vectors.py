@@ -136,19 +136,6 @@ def test_links_of_no_vectors(spark):
     check_links(spark, [(1, None, 1), (2, [1.0] * 8, None), (3, [0.0] * 8, 1)])
 
 
-def test_links_of_real_vectors(spark):
-    where = "/root/testdata/check_s/embeddings.parquet"
-    rows = spark.read.parquet(where).where("vec_id % 7 = 0 or label = 3")
-    data = rows.collect()
-    x = np.array([r.embedding for r in data], dtype=float)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    label = np.array([r.label for r in data])
-    want = ((x @ x.T >= 0.93) & (label[:, None] == label)).sum(1) - 1
-    got = {r.vec_id: r.n_links for r in near_duplicates(rows).collect()}
-    found = np.array([got[r.vec_id] for r in data])
-    assert (found <= want).all() and found.sum() >= 0.99 * want.sum()
-
-
 def spread_pairs(rng, n, cosine=0.932, size=16):
     """Vectors in all directions, each beside one that is just close enough."""
     x = rng.normal(size=(n, size))
@@ -168,6 +155,28 @@ def found_of(spark, vectors):
     return np.array([got[k] for k in range(len(x))]), want
 
 
+def test_links_of_fifty_thousand_vectors(spark):
+    """Pairs in all directions, groups of ten, a group of a sixth of the rows, and single vectors, under eight labels."""
+    rng = np.random.default_rng(3)
+    tens = np.repeat(rng.normal(size=(800, 16)), 10, axis=0) + 0.05 * rng.normal(size=(8000, 16))
+    group = rng.normal(size=16) + 0.01 * rng.normal(size=(8000, 16))
+    x = np.float32(np.concatenate([spread_pairs(rng, 3000), tens, group, rng.normal(size=(28_000, 16))]))
+    label = np.concatenate([np.tile(np.arange(3000) % 8, 2), np.repeat(np.arange(800) % 8, 10), np.full(8000, 3), rng.integers(0, 8, 28_000)])
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    want = np.zeros(len(x), dtype=int)
+    for k in range(8):
+        own = np.flatnonzero(label == k)
+        for part in np.array_split(own, 8):
+            want[part] = (unit[part] @ unit[own].T >= 0.93).sum(1) - 1
+    frame = table(spark, [(int(k), v, int(c)) for k, (v, c) in enumerate(zip(x.tolist(), label))])
+    got = {r.vec_id: r.n_links for r in near_duplicates(frame).collect()}
+    found = np.array([got[k] for k in range(len(x))])
+    kinds = [("pairs", 0, 6000), ("tens", 6000, 14_000), ("group", 14_000, 22_000), ("single", 22_000, 50_000)]
+    assert (found <= want).all()
+    for name, low, high in kinds:
+        assert found[low:high].sum() >= 0.99 * want[low:high].sum(), name
+
+
 def test_pairs_beside_a_large_group_are_found(spark):
     rng = np.random.default_rng(8)
     base = rng.normal(size=16)
