@@ -66,7 +66,7 @@ class Pair:
             return [], []
         if BLANK in text:  # B reads it as a space
             return [], []
-        a, b = self.a.ids(" " + text), self.b.encode(text)
+        a, b = self.a.ids(" " + text, special=False), self.b.encode(text)
         want = b" " + text.encode()
         if b"".join(map(self.bytes_a.__getitem__, a)) != want or b"".join(map(self.bytes_b.__getitem__, b)) != want:
             return [], []

@@ -5,14 +5,12 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from lotwise.llm.packing import best_fit, cuts, encoder, pack, packed_sequences, tokenizer_path
+from lotwise.llm.packing import OPEN_BINS, best_fit, cuts, encoder, pack, packed_sequences, tokenizer_path
 
 
 @pytest.fixture(scope="module")
 def plain():
-    t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_path())
 
 
 def check(docs, rows, plain, length=2048):
@@ -85,5 +83,32 @@ def test_cuts():
 @given(st.text(max_size=60))
 @settings(max_examples=200, deadline=None)
 def test_ids_are_the_librarys(text):
-    t = encoder(tokenizer_path())
-    assert t.ids(text) == t.plain.encode(text, add_special_tokens=False).ids
+    t, fresh = encoder(tokenizer_path()), _fresh()
+    assert t.ids(text) == fresh.encode(text, add_special_tokens=False).ids
+    fresh.encode_special_tokens = True
+    assert t.ids(text, special=False) == fresh.encode(text, add_special_tokens=False).ids
+
+
+def _fresh():
+    if not _FRESH:
+        _FRESH.append(Tokenizer.from_file(tokenizer_path()))
+    _FRESH[0].encode_special_tokens = False
+    return _FRESH[0]
+
+
+_FRESH: list = []
+
+
+def test_special_strings_are_the_librarys_ids():
+    assert encoder(tokenizer_path()).ids("a<|endoftext|>b") == [64, 50256, 65]
+    assert encoder(tokenizer_path()).ids("a<|endoftext|>b", special=False) != [64, 50256, 65]
+
+
+def test_the_bound_closes_the_fullest_bin():
+    sizes = sorted(np.random.default_rng(2).integers(1, 2049, 8192).tolist(), reverse=True)
+    least = -(-sum(sizes) // 2048)
+    used = {b: max(best_fit(sizes, 2048, b)[0]) + 1 for b in (64, OPEN_BINS, 8192)}
+    assert used[64] > used[OPEN_BINS] > used[8192] and used[OPEN_BINS] <= 1.2 * least
+    bins, offsets = best_fit([1200, 1000, 900, 800], 2048, 2)
+    assert bins == [0, 1, 1, 0] and offsets == [0, 0, 1000, 1200]
+    assert best_fit([1200, 1100, 1000, 800, 900], 2048, 2)[0] == [0, 1, 2, 1, 2]  # the third size closes bin 0, the fullest
