@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-GROUPS = ["files", "profiles", "cleaning", "features", "splits", "encoding", "evaluation", "training", "scoring", "streams"]
+GROUPS = ["files", "profiles", "cleaning", "features", "splits", "encoding", "evaluation", "training", "scoring", "streams",
+          "attribution", "linear", "sketches"]
 
 
 def load() -> dict:
