@@ -76,46 +76,58 @@ def _similar_sizes(a: str, b: str) -> Column:
     return 100 * low >= PERCENT * high
 
 
+def _sieved(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose number occurs in ``wanted`` (one column), and some others.
+
+    A bitmap of hashes, never over a megabyte of bits, is broadcast: it keeps most rows out of a shuffle, and
+    the join that follows is exact.
+    """
+    def place(c: Column) -> tuple[Column, Column]:
+        h = F.xxhash64(c)
+        return F.floor(F.pmod(h, F.lit(BITMAP_BITS)) / 64), F.pmod(h, F.lit(64)).cast("int")
+
+    word, bit = place(F.col(wanted.columns[0]))
+    bitmap = wanted.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    word, bit = place(F.col(column))
+    return rows.join(F.broadcast(bitmap), word == F.col("_word")).where(F.call_function("getbit", F.col("_bits"), bit) == 1).drop("_word", "_bits")
+
+
 def _overlapping(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """Pairs (a, b) that link: overlaps are counted for each fragment by itself and summed per pair."""
-    one = segments.select(F.col("set_key").alias("a"), "fragment", F.col("grams").alias("grams_a"))
-    two = segments.select(F.col("set_key").alias("b"), "fragment", F.col("grams").alias("grams_b"))
-    partial = pairs.join(one, "a").join(two, ["b", "fragment"]).select(
+    """Pairs (a, b) that link: overlaps are counted for each fragment by itself and summed per pair.
+
+    A set that very many others are compared with is met fragment by fragment, on either side of a pair.
+    """
+    one = _sieved(segments, "id", pairs.select("a")).select(F.col("id").alias("a"), "fragment", F.col("grams").alias("grams_a"))
+    two = _sieved(segments, "id", pairs.select("b")).select(F.col("id").alias("b"), "fragment", F.col("grams").alias("grams_b"))
+    each = pairs.withColumn("fragment", F.explode(F.array(*[F.lit(k) for k in range(COUNTED)])))
+    partial = each.join(one, ["a", "fragment"]).join(two, ["b", "fragment"]).select(
         "a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("part"))
     whole = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("part").alias("shared"))
     return whole.where(100 * F.col("shared") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b")
 
 
 def _segments_of(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set_key, fragment, grams) of the wanted sets, from the text of one document each.
-
-    A bitmap of the texts' hashes, never over a megabyte of bits, is broadcast and keeps most other texts
-    out of the shuffle; what passes is matched exactly.
-    """
-    holders = sets.join(wanted, "set_key", "left_semi").groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("h"))
-    holders = materialize(holders.select(_row_name(F.col("h.doc_id"), F.col("h.text_key")).alias("_name"), F.col("h.text_key")).distinct(), "holders")
-    word, bit = F.floor(F.pmod("text_key", F.lit(BITMAP_BITS)) / 64), F.pmod("text_key", F.lit(64)).cast("int")
-    bitmap = holders.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    """(id, fragment, grams) of the wanted sets (set_key, id), from the text of one document each."""
+    holders = sets.join(wanted, "set_key").groupBy("id").agg(F.min(F.struct("doc_id", "text_key")).alias("h"))
+    holders = materialize(holders.select(_row_name(F.col("h.doc_id"), F.col("h.text_key")).alias("_name"), F.col("h.text_key"), "id"), "holders")
     rows = docs.select(_row_name(F.col("doc_id"), text_key(F.col("text"))).alias("_name"), text_key(F.col("text")).alias("text_key"), F.col("text").cast("string").alias("text"))
-    rows = rows.join(F.broadcast(bitmap), word == F.col("_word")).where(F.call_function("getbit", F.col("_bits"), bit) == 1)
-    # names are distinct; a semi-join would be moved below the bitmap, in front of it
-    texts = rows.join(holders.select("_name"), "_name").select("text")
-    schema = pa.schema([("set_key", pa.binary()), ("fragment", pa.int32()), ("grams", pa.list_(pa.int64()))])
+    rows = _sieved(rows, "text_key", holders.select("text_key")).select("_name", "text")
+    # rows are alike where the name is; the join has them by name already
+    texts = rows.join(holders.select("_name", "id"), "_name").dropDuplicates(["_name"]).select("id", "text")
+    schema = pa.schema([("id", pa.int64()), ("fragment", pa.int32()), ("grams", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, places, parts = [], [], []
-            for grams in shingle_sets(batch.column(0)):
-                key = hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
+            numbers, places, parts = [], [], []
+            for number, grams in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1))):
                 for k, part in enumerate(np.split(grams, np.searchsorted(grams, _cuts(COUNTED)))):
                     if len(part):
-                        keys.append(key)
+                        numbers.append(number)
                         places.append(k)
                         parts.append(part.view(np.int64))
-            yield pa.record_batch([pa.array(v, f.type) for v, f in zip((keys, places, parts), schema)], schema=schema)
+            yield pa.record_batch([pa.array(v, f.type) for v, f in zip((numbers, places, parts), schema)], schema=schema)
 
-    found = texts.mapInArrow(run, "set_key binary, fragment int, grams array<long>")
-    return materialize(found.dropDuplicates(["set_key", "fragment"]), "segments")
+    return materialize(texts.mapInArrow(run, "id long, fragment int, grams array<long>"), "segments")
 
 
 def _links_across(segments: DataFrame, placed: DataFrame) -> DataFrame:
@@ -129,8 +141,8 @@ def _links_across(segments: DataFrame, placed: DataFrame) -> DataFrame:
     N-grams of a few holders give pairs. Sets that share others, as families of half-similar texts do, are
     compared in blocks that give out a root for each linked set, never pairs.
     """
-    placed = placed.select("set_key", "n", F.xxhash64("set_key").alias("id"), F.xxhash64("component").alias("place"))
-    grams = segments.join(placed, "set_key").select("id", "place", F.explode("grams").alias("gram"))
+    placed = placed.select("id", "n", F.col("component").alias("place"))
+    grams = segments.join(placed.select("id", "place"), "id").select("id", "place", F.explode("grams").alias("gram"))
     held = grams.groupBy("gram").agg(F.min("place").alias("lo"), F.max("place").alias("hi"), F.count(F.lit(1)).alias("holders"))
     cross = materialize(grams.join(held.where("lo <> hi").select("gram", "holders"), "gram").select("id", "holders", "gram"), "cross_grams")
     counts = cross.groupBy("id").agg(F.count(F.lit(1)).alias("n_cross"))
@@ -140,29 +152,29 @@ def _links_across(segments: DataFrame, placed: DataFrame) -> DataFrame:
     order = F.array_sort(F.collect_list(F.struct("holders", "gram")))
     lists = cross.join(left.select("id"), "id", "left_semi").groupBy("id").agg(order.alias("by_rarity"))
     lists = materialize(left.join(lists, "id"), "gram_lists")
-    rare = lists.select("set_key", "n", "own", "place", F.explode(F.slice("by_rarity", F.lit(1), F.col("ranked"))).alias("g"))
-    rare = rare.select(F.col("g.gram").alias("gram"), "set_key", "n", "own", "place")
+    rare = lists.select("id", "n", "own", "place", F.explode(F.slice("by_rarity", F.lit(1), F.col("ranked"))).alias("g"))
+    rare = rare.select(F.col("g.gram").alias("gram"), "id", "n", "own", "place")
     clean = 9 * F.col("own") <= F.col("n")
-    held = rare.groupBy("gram").agg(F.count(F.lit(1)).alias("members"), F.min("set_key").alias("least"))
+    held = rare.groupBy("gram").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("least"))
     rare = materialize(rare.join(held.where("members > 1"), "gram").withColumn("clean", clean), "rare_grams")
 
     few = rare.where(F.col("members") <= FEW_HOLDERS)
-    one = few.where("clean").select("gram", F.col("set_key").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"), F.col("place").alias("place_a"))
-    two = few.select("gram", F.col("set_key").alias("b"), F.col("n").alias("n_b"), F.col("own").alias("own_b"), F.col("place").alias("place_b"), "clean")
+    one = few.where("clean").select("gram", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"), F.col("place").alias("place_a"))
+    two = few.select("gram", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("own").alias("own_b"), F.col("place").alias("place_b"), "clean")
     may = (F.col("place_a") != F.col("place_b")) & (~F.col("clean") | (F.col("a") < F.col("b"))) & _similar_sizes("n_a", "n_b")
     pairs = one.join(two, "gram").where(may & (9 * (F.col("own_a") + F.col("own_b")) <= F.col("n_a") + F.col("n_b")))
     pairs = materialize(pairs.select("a", "b", "n_a", "n_b").distinct(), "rare_pairs")
     alone = _overlapping(pairs, segments)
 
-    many = rare.where((F.col("members") > FEW_HOLDERS) & (F.col("set_key") != F.col("least")))
-    family = components(many.select(F.col("set_key").alias("a"), F.col("least").alias("b")))
-    family = family.select(F.col("node").alias("set_key"), F.col("component").alias("family"))
+    many = rare.where((F.col("members") > FEW_HOLDERS) & (F.col("id") != F.col("least")))
+    family = components(many.select(F.col("id").alias("a"), F.col("least").alias("b")))
+    family = family.select(F.col("node").alias("id"), F.col("component").alias("family"))
     sizes = family.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = lists.join(family, "set_key").join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
+    members = lists.join(family, "id").join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "set_key", "n", "own", "place",
+    members = members.select("family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "n", "own", "place",
                              F.transform("by_rarity", lambda g: g["gram"]).alias("grams"))
-    blocks = members.groupBy("family", "low", "high").applyInPandas(_linked_in_block, "a binary, b binary")
+    blocks = members.groupBy("family", "low", "high").applyInPandas(_linked_in_block, "a long, b long")
     return alone.unionByName(blocks)
 
 
@@ -171,7 +183,7 @@ def _linked_in_block(rows: pd.DataFrame) -> pd.DataFrame:
 
     Overlaps are products of 0/1 matrices, one for each fragment of the n-gram order, and add up.
     """
-    rows = rows.sort_values("set_key").reset_index(drop=True)
+    rows = rows.sort_values("id").reset_index(drop=True)
     n, own, place = (rows[c].to_numpy() for c in ("n", "own", "place"))
     sizes = rows["grams"].map(len).to_numpy()
     names, column, holders = np.unique(np.concatenate(rows["grams"].to_list()), return_inverse=True, return_counts=True)
@@ -190,7 +202,7 @@ def _linked_in_block(rows: pd.DataFrame) -> pd.DataFrame:
     a, b = np.nonzero(np.triu(linked, 1))
     root = hang(np.arange(len(rows)), a, b)
     used = np.unique(np.concatenate([a, b]))
-    keys = rows["set_key"].to_numpy()
+    keys = rows["id"].to_numpy()
     return pd.DataFrame({"a": keys[used], "b": keys[root[used]]})
 
 
@@ -216,36 +228,41 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     sets = materialize(gram_sets(docs), "gram_sets")
     vertices = sets.where("set_key is not null").groupBy("set_key").agg(
         F.first("n_shingles").alias("n"), F.first("heads").alias("heads"))
-    heads = vertices.select("set_key", "n", F.explode("heads").alias("head"))
+    # written once, so the numbers stay what they are
+    vertices = materialize(vertices.withColumn("id", F.monotonically_increasing_id()), "vertices")
+    sizes = vertices.select("id", "n")
+    heads = vertices.select("id", F.explode("heads").alias("head"))
     shared = heads.groupBy("head").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     bucketed = materialize(heads.join(shared, "head"), "buckets")
-    reach = bucketed.groupBy("set_key").agg(F.sum("members").alias("reach"))
-    centre = bucketed.join(reach, "set_key").groupBy("head").agg(F.max(F.struct("reach", "set_key", "n")).alias("c"))
-    star = bucketed.join(centre, "head").select(
-        F.least("set_key", "c.set_key").alias("a"), F.greatest("set_key", "c.set_key").alias("b"),
-        F.when(F.col("set_key") < F.col("c.set_key"), F.col("n")).otherwise(F.col("c.n")).alias("n_a"),
-        F.when(F.col("set_key") < F.col("c.set_key"), F.col("c.n")).otherwise(F.col("n")).alias("n_b"))
+    counts = bucketed.groupBy("id").agg(F.sum("members").alias("reach"), F.count(F.lit(1)).alias("heads"))
+    counts = materialize(counts.join(sizes, "id"), "bucket_counts")
+    placed = bucketed.join(counts.select("id", "reach", "n"), "id").select("head", "id", "reach", "n")
+    centre = placed.groupBy("head").agg(F.max(F.struct("reach", "id", "n")).alias("c"))
+    star = placed.join(centre, "head").select(
+        F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b"),
+        F.when(F.col("id") < F.col("c.id"), F.col("n")).otherwise(F.col("c.n")).alias("n_a"),
+        F.when(F.col("id") < F.col("c.id"), F.col("c.n")).otherwise(F.col("n")).alias("n_b"))
     star = star.where((F.col("a") != F.col("b")) & _similar_sizes("n_a", "n_b")).groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("heads"))
     known = F.col("heads") >= F.when(F.col("n") >= SMALL_SET, LEAST_HEADS).otherwise(1)
     star = materialize(star.withColumn("n", F.least("n_a", "n_b")).where(known).drop("n", "heads"), "star_pairs")
-    candidates = bucketed.groupBy("set_key").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("heads")).where(known)
-    segments = _segments_of(docs, sets, candidates.select("set_key"))
+    candidates = counts.where(known).select("id")
+    segments = _segments_of(docs, sets, vertices.select("set_key", "id").join(candidates, "id"))
     links = materialize(_overlapping(star, segments), "star_links")
     joined = components(links)
 
-    placed = bucketed.join(joined.withColumnRenamed("node", "set_key"), "set_key", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "set_key"))
+    placed = bucketed.select("head", "id").join(joined.withColumnRenamed("node", "id"), "id", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "id"))
     split = placed.groupBy("head").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("head")
-    open_sets = placed.join(split, "head").groupBy("set_key", "component").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("heads"))
-    open_sets = materialize(open_sets.where(known), "open_sets")
+    open_sets = placed.join(split, "head").groupBy("id", "component").agg(F.count(F.lit(1)).alias("heads"))
+    open_sets = materialize(open_sets.join(sizes, "id").where(known), "open_sets")
     more = materialize(_links_across(segments, open_sets), "links_across")
     joined = components(links.unionByName(more)) if more.take(1) else joined
 
-    group = F.coalesce("component", "set_key")
     of_set = sets.where("set_key is not null").groupBy("set_key").agg(
         F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("row"))
-    of_set = of_set.join(joined.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("_group", group)
-    of_set = materialize(of_set.select("set_key", "_group", "least", "row"), "set_groups")
+    groups = vertices.select("set_key", "id").join(joined.withColumnRenamed("node", "id"), "id", "left")
+    groups = groups.select("set_key", F.coalesce("component", "id").alias("_group"))
+    of_set = materialize(of_set.join(groups, "set_key").select("set_key", "_group", "least", "row"), "set_groups")
     per = of_set.groupBy("_group").agg(F.min("least").alias("component_id"), F.min("row").alias("row"))
     classes = of_set.select("set_key", "_group").join(per, "_group").select(
         F.col("set_key").alias("_set"), "component_id", F.col("row.doc_id").alias("_first_id"), F.col("row.text_key").alias("_first_key"))
