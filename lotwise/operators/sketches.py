@@ -21,7 +21,8 @@ RUN = "run_ts"
 def sketch_profile(df: DataFrame, columns: list[str], run: Column) -> DataFrame:
     """One row per (run_ts, column_name): rows, nulls, least, most and the three sketches.
 
-    Numeric columns have quantiles, least and most; NaN counts as NULL. Values count as distinct by their text.
+    Numeric columns have quantiles, least and most; NaN counts as NULL. Values count as distinct
+    and as frequent by their text, NULLs as neither.
     Sketches are filled in the map tasks, so the shuffle moves one row per task, run and column.
     """
     numeric = {c for c, t in df.dtypes if t in ("double", "float", "bigint", "int", "smallint", "tinyint") or t.startswith("decimal")}
@@ -35,7 +36,7 @@ def sketch_profile(df: DataFrame, columns: list[str], run: Column) -> DataFrame:
     return long.groupBy(RUN, "column_name").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("text").isNull()).alias("nulls"), F.min("value").alias("least"), F.max("value").alias("most"),
         F.hll_sketch_agg("text", F.lit(LOG_K)).alias("distinct_sketch"), F.kll_sketch_agg_double("value", F.lit(QUANTILE_K)).alias("quantile_sketch"),
-        F.expr(f"approx_top_k_accumulate(text, {TOP_TRACKED})").alias("top_sketch"))
+        F.expr(f"approx_top_k_accumulate(text, {TOP_TRACKED}) FILTER (WHERE text IS NOT NULL)").alias("top_sketch"))
 
 
 def save_sketches(sketches: DataFrame, path: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 GROUPS = ["files", "profiles", "cleaning", "features", "splits", "encoding", "evaluation", "training", "scoring", "streams",
-          "attribution", "linear", "sketches", "rates"]
+          "attribution", "linear", "sketches", "rates", "ranks"]
 
 
 def load() -> dict:

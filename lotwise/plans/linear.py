@@ -51,7 +51,7 @@ _INPUTS = [c for c in NUMERIC_FEATURES if c != "annual_insurance"]
 @plan("ablation_refit")
 def ablation_refit(spark, sf_dir):
     """All numeric features; each row is a linear fit without one of them."""
-    train, test = train_test(feature_table(spark, sf_dir, names=False).select("listing_id", TARGET, *_INPUTS))
+    train, test = train_test(feature_table(spark, sf_dir).select("listing_id", TARGET, *_INPUTS))
     return rounded(ablation(train, test, _INPUTS, TARGET), 6)
 
 

@@ -56,6 +56,7 @@ def test_frequent_values(rows):
     merged = merge_sketches(sketch_profile(rows, ["t"], F.col("day")))
     top = report(merged, top=3).first().top
     want = rows.where("t is not null").groupBy("t").count().orderBy(F.desc("count"), "t").limit(3).collect()
+    assert report(merge_sketches(sketch_profile(rows, ["none"], F.col("day")))).first().top == []
     assert [t.item for t in top] == [r.t for r in want] and [t["count"] for t in top] == pytest.approx([r["count"] for r in want], rel=0.02)
 
 
