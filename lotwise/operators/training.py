@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import PCA, VarianceThresholdSelector
+from pyspark.ml.feature import VarianceThresholdSelector
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.stat import Correlation, Summarizer
@@ -186,12 +186,6 @@ def eliminate(train: DataFrame, names: list[str], estimator_name: str = "forest"
         keep = sorted(keep[i] for i in order)
 
 
-def principal_components(df: DataFrame, k: int) -> tuple[DataFrame, list[float]]:
-    """Rows projected on k components, and the variance share of each."""
-    model = PCA(k=k, inputCol="features", outputCol="components").fit(df)
-    return model.transform(df), [float(v) for v in model.explainedVariance.values]
-
-
 def low_variance(df: DataFrame, names: list[str], threshold: float = 1e-3) -> list[str]:
     """Names of slots whose variance is not above the threshold."""
     model = VarianceThresholdSelector(featuresCol="features", outputCol="_kept", varianceThreshold=threshold).fit(df)

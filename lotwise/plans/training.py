@@ -5,9 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from lotwise.operators import explain as X, models as M, neighbours as N, stacking, training as T
+from lotwise.operators.components import fit_components
 from lotwise.operators.encode import select_slots
 from lotwise.operators.features import FEATURES, NUMERIC_FEATURES, TARGET
 from lotwise.plans import sqltext as S
@@ -80,13 +82,36 @@ def recursive_elimination(spark, sf_dir):
     return spark.createDataFrame([(n, r2) for n, r2, _ in rounds], "slots int, r2 double")
 
 
+def _components(df, size, k):
+    """Rows along the first axes, and the variance along each."""
+    fit = fit_components(df, k, size)
+    along = fit.transform(df, ["listing_id"])
+    return along.select("listing_id", *[F.round(F.col("components")[i], 4).alias(f"component_{i + 1}") for i in range(k)]), fit
+
+
 @plan("principal_components")
 def principal_components(spark, sf_dir):
-    d = data(spark, sf_dir, text=["fuel_type_cleaned", "transmission_cleaned"])
-    from pyspark.ml.functions import vector_to_array
+    """All numeric slots and all slots of the nine text columns."""
+    d = data(spark, sf_dir)
+    return _components(d.train.select("listing_id", "features").unionByName(d.test.select("listing_id", "features")), len(d.encoder.names), 5)[0]
+
+
+_PAIR = ["car_age", "mileage_log"]
+
 
-    rows, _ = T.principal_components(d.test.unionByName(d.train.drop("fold"), allowMissingColumns=True), 5)
-    return rows.select("listing_id", *[F.round(F.abs(vector_to_array("components")[i]), 4).alias(f"component_{i + 1}") for i in range(5)])
+# the eigenvectors of two columns have a closed form; the larger entry of an axis is positive
+@plan("principal_pair", f"""WITH {S.FEATURES}, x AS (SELECT listing_id, car_age::DOUBLE AS x1, mileage_log AS x2 FROM features),
+m AS (SELECT avg(x1) AS m1, avg(x2) AS m2, var_samp(x1) AS a, var_samp(x2) AS c, covar_samp(x1, x2) AS b FROM x),
+l AS (SELECT *, (a + c) / 2 + sqrt(pow((a - c) / 2, 2) + b * b) AS l1, (a + c) / 2 - sqrt(pow((a - c) / 2, 2) + b * b) AS l2 FROM m),
+u AS (SELECT *, b / sqrt(b * b + pow(l1 - a, 2)) AS u1, (l1 - a) / sqrt(b * b + pow(l1 - a, 2)) AS u2 FROM l),
+s AS (SELECT *, CASE WHEN abs(u1) >= abs(u2) THEN sign(u1) ELSE sign(u2) END AS s1, CASE WHEN abs(u2) >= abs(u1) THEN sign(-u2) ELSE sign(u1) END AS s2 FROM u)
+SELECT listing_id, round(s1 * (u1 * (x1 - m1) + u2 * (x2 - m2)), 4) AS component_1, round(s2 * (u1 * (x2 - m2) - u2 * (x1 - m1)), 4) AS component_2,
+  round(l1, 6) AS variance_1, round(l2, 6) AS variance_2 FROM x CROSS JOIN s""")
+def principal_pair(spark, sf_dir):
+    df = feature_table(spark, sf_dir, names=False).select("listing_id", *_PAIR)
+    vectors = materialize(VectorAssembler(inputCols=_PAIR, outputCol="features").transform(df).select("listing_id", "features"), "pairs")
+    rows, fit = _components(vectors, len(_PAIR), len(_PAIR))
+    return rounded(rows.select("*", *[F.lit(float(v)).alias(f"variance_{i + 1}") for i, v in enumerate(fit.variances)]))
 
 
 _VAR = [c for c in NUMERIC_FEATURES if c != "annual_insurance"]
