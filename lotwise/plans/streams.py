@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from lotwise.functions.numbers import invert_log, to_number
@@ -15,6 +17,7 @@ from lotwise.sources.listings import listing_stream
 from lotwise.sources.scratch import new_path
 from lotwise.sources.tables import stream, table
 from lotwise.streaming import monitor as W, scoring as C
+from lotwise.streaming.replays import keyed_state, replays_dropped_for
 from lotwise.streaming.runner import run_to_files, run_updates, utc_day, with_event_time
 
 
@@ -129,3 +132,35 @@ def stream_replays(spark, sf_dir):
     path = run_to_files(W.replays_dropped(events, ["event_id"], "ts").drop("copy"), "replays")
     out = spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"), F.avg("value").alias("mean_value"))
     return rounded(out)
+
+
+def _late_replays(spark, sf_dir):
+    """Every second event comes again 20 days later, far beyond the watermark's delay of a day."""
+    copy = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("event_id") % 2))
+    events = timed_events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type", "value", copy.alias("copy"))
+    later = F.col("ts") + F.make_dt_interval(F.col("copy").cast("int") * 20)
+    return replays_dropped_for(events.withColumn("ts", later), ["event_id"], "ts", timedelta(days=40))
+
+
+@plan("stream_late_replays", "SELECT event_type, count(*) AS rows, 0 AS copies, round(avg(value), 6) AS mean_value FROM events GROUP BY 1")
+def stream_late_replays(spark, sf_dir):
+    with keyed_state(spark):
+        path = run_to_files(_late_replays(spark, sf_dir), "late-replays")
+    out = spark.read.parquet(path).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("copy").cast("int").alias("copies"), F.avg("value").alias("mean_value"))
+    return rounded(out)
+
+
+# sessions of the first requests; the last time seen, a copy's, closes all that ended a day and the gap before it
+@plan("stream_sessions", """WITH steps AS (SELECT user_id, ts, value,
+  CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens, event_id FROM events WHERE user_id IS NOT NULL),
+runs AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM steps),
+seen AS (SELECT max(CASE WHEN event_id % 2 = 1 THEN ts + INTERVAL 20 DAY ELSE ts END) AS last_seen FROM events)
+SELECT user_id, epoch_us(min(ts)) AS first_at, epoch_us(max(ts)) AS last_at, count(*) AS rows, round(avg(value), 6) AS mean
+FROM runs CROSS JOIN seen GROUP BY user_id, run, last_seen HAVING max(ts) + INTERVAL 6 HOUR <= last_seen - INTERVAL 1 DAY""")
+def stream_sessions(spark, sf_dir):
+    with keyed_state(spark):
+        path = run_to_files(W.sessions(_late_replays(spark, sf_dir), "user_id", "ts", "value", "6 hours", delay=None), "sessions")
+    out = spark.read.parquet(path)
+    micros = [F.unix_micros(c).alias(c) for c in ("first_at", "last_at")]
+    return rounded(out.where(F.col("user_id").isNotNull()).select("user_id", *micros, "rows", "mean"))

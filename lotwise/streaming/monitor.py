@@ -24,6 +24,16 @@ def monitor(stream: DataFrame, time: str, value: str, low: float, high: float, w
     return stats.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "rows", "mean", "null_share", "outside_share")
 
 
+def sessions(stream: DataFrame, client: str, time: str, value: str, gap: str = "30 minutes", delay: str | None = "1 day") -> DataFrame:
+    """Runs of a client's rows that are at most ``gap`` apart, once they are closed: the watermark has passed the
+    last row by ``gap``. Without ``delay`` the stream has a watermark of its own. State is one row per open session.
+    """
+    timed = stream if delay is None else stream.withWatermark(time, delay)
+    runs = timed.groupBy(client, F.session_window(time, gap).alias("s")).agg(
+        F.count(F.lit(1)).alias("rows"), F.avg(value).alias("mean"), F.max(time).alias("last_at"))
+    return runs.select(client, F.col("s.start").alias("first_at"), "last_at", "rows", "mean")
+
+
 def bin_counts(value: Column, edges: list[float]) -> list[Column]:
     """Row count per bin between the edges, with an open bin on each side."""
     cuts = [None, *edges, None]
