@@ -35,16 +35,13 @@ def scaled_numeric(spark, sf_dir):
     return rounded(df.select("listing_id", *[E.scaled(c, *stats[c], c == E.INSURANCE).alias(c) for c in _NUMERIC]))
 
 
-_HOT = ["fuel_type_cleaned", "transmission_cleaned", "make_name_cleaned", "model_name_cleaned"]
-
-
 @plan("one_hot_long", f"""WITH {S.FEATURES}, long AS (
-  {" UNION ALL ".join(f"SELECT listing_id, '{c}' AS c, {c} AS v FROM features" for c in _HOT)}),
+  {" UNION ALL ".join(f"SELECT listing_id, '{c}' AS c, {c} AS v FROM features" for c in TEXT_FEATURES)}),
 seen AS (SELECT DISTINCT c, v FROM long {_TRAIN})
 SELECT listing_id, 'cat__' || c || '_' || v AS slot FROM long JOIN seen USING (c, v) WHERE {S.bucket('listing_id')} >= 80""")
 def one_hot_long(spark, sf_dir):
-    train, test = train_test(feature_table(spark, sf_dir, numbers=False).select("listing_id", *_HOT))
-    return E.one_hot_long(test, E.fit_preprocessor(train, [], _HOT).labels)
+    train, test = train_test(feature_table(spark, sf_dir, numbers=False).select("listing_id", *TEXT_FEATURES))
+    return E.one_hot_long(test, E.fit_preprocessor(train, [], TEXT_FEATURES).labels)
 
 
 _FUELS = ["diesel", "electric", "hybrid_diesel", "hybrid_petrol", "petrol", "plugin_hybrid_petrol", "unknown"]

@@ -85,14 +85,21 @@ def validate_requests(spark, sf_dir):
     return out.select("listing_id", F.array_join("violations", "; ").alias("violations"))
 
 
-@plan("request_null_audit", f"""WITH {S.LISTINGS}, {_DERIVED} SELECT 'annual_insurance' AS column_name, 'double' AS column_type, count(*) AS row_count,
-  count(annual_insurance) AS non_null, count(*) - count(annual_insurance) AS nulls, round((count(*) - count(annual_insurance)) * 100.0 / count(*), 6)::DOUBLE AS null_pct FROM derived
-UNION ALL SELECT 'mileage_per_year', 'double', count(*), count(mileage_per_year), count(*) - count(mileage_per_year),
-  round((count(*) - count(mileage_per_year)) * 100.0 / count(*), 6)::DOUBLE FROM derived
-UNION ALL SELECT 'power_per_cc', 'double', count(*), count(*), 0, 0.0 FROM derived""")
+# what a request's feature is in SQL; those that a listing has no field for stay empty
+_AUDITED = {c: c for c in FEATURES} | {n: c for n, c in _SQL_NAMES.items()} | {c: "CAST(NULL AS VARCHAR)" for c in _ABSENT} | {
+    "horse_power_num": "coalesce(horse_power, 100)", "torque_num": "coalesce(torque, 150)", "acceleration_num": "coalesce(acceleration_num, 12)",
+    "seats_num": "coalesce(seats_num, 5)", "horse_power_log": "coalesce(horse_power_log, ln(1 + coalesce(horse_power, 100)))",
+    "torque_log": "coalesce(torque_log, ln(1 + coalesce(torque, 150)))",
+    "power_per_cc": "CASE WHEN cc = 0 THEN 0 ELSE coalesce(horse_power, 100) / cc END", "mileage_per_cc": "CASE WHEN cc = 0 THEN 0 ELSE m / cc END"}
+_KINDS = {f.name: f.kind for f in Q.CONTRACT}
+
+
+@plan("request_null_audit", f"WITH {S.LISTINGS}, {_DERIVED}, audited AS (SELECT {', '.join(f'{_AUDITED[c]} AS {c}' for c in FEATURES)} FROM derived) " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{_KINDS[c]}' AS column_type, count(*) AS row_count, count({c}) AS non_null, count(*) - count({c}) AS nulls, "
+    f"round((count(*) - count({c})) * 100.0 / count(*), 6)::DOUBLE AS null_pct FROM audited" for c in FEATURES))
 def request_null_audit(spark, sf_dir):
-    out = Q.preprocess(requests(spark, sf_dir))
-    return rounded(null_profile(out.select("annual_insurance", "mileage_per_year", "power_per_cc")))
+    """All features of a request, defaults filled."""
+    return rounded(null_profile(Q.preprocess(requests(spark, sf_dir)).select(*FEATURES)))
 
 
 # one input column, so that the registered pipeline has a closed form in SQL
