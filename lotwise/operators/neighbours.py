@@ -156,6 +156,18 @@ def _search_all(wanted: DataFrame, points: DataFrame, boxes: Boxes, features: li
         _search(features, k), "x array<double>, dist double, n long, s double")
 
 
+def nearest_mean(k: int) -> Column:
+    """Over rows (dist, n, s), one for each distance of a query: mean of the first k points, the last distance in part."""
+    ranked = F.array_sort(F.collect_list(F.struct("dist", "n", "s")))
+    start = F.struct(F.lit(0).cast("bigint").alias("c"), F.lit(0.0).alias("t"))
+    return F.aggregate(
+        ranked, start,
+        lambda acc, e: F.struct(
+            F.least(acc["c"] + e["n"], F.lit(k).cast("bigint")).alias("c"),
+            (acc["t"] + F.least(e["n"], F.lit(k) - acc["c"]) * e["s"] / e["n"]).alias("t")),
+        lambda acc: F.try_divide(acc["t"], acc["c"]))
+
+
 def knn_predict(train: DataFrame, queries: DataFrame, features: list[str], target: str, k: int = 5, out: str = "predicted",
                 block: int = 20_000) -> DataFrame:
     """Mean target of the k nearest training rows (Euclidean, on columns already scaled and filled)."""
@@ -180,15 +192,7 @@ def knn_predict(train: DataFrame, queries: DataFrame, features: list[str], targe
     more = materialize(radii.mapInPandas(_other_cells(boxes), "x array<double>, cell int"), "knn-more")
     rest = _search_all(more, points, boxes, features, k, block)
     both = found.unionByName(rest).groupBy("x", "dist").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    ranked = F.array_sort(F.collect_list(F.struct("dist", "n", "s")))
-    start = F.struct(F.lit(0).cast("bigint").alias("c"), F.lit(0.0).alias("t"))
-    mean = F.aggregate(
-        ranked, start,
-        lambda acc, e: F.struct(
-            F.least(acc["c"] + e["n"], F.lit(k).cast("bigint")).alias("c"),
-            (acc["t"] + F.least(e["n"], F.lit(k) - acc["c"]) * e["s"] / e["n"]).alias("t")),
-        lambda acc: F.try_divide(acc["t"], acc["c"]))
-    table = both.groupBy(F.col("x").alias("_x")).agg(mean.alias(out))
+    table = both.groupBy(F.col("x").alias("_x")).agg(nearest_mean(k).alias(out))
     return queries.withColumn("_q", x).join(table, F.col("_q") == F.col("_x"), "left").drop("_q", "_x")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 
 from pyspark.ml import PipelineModel
@@ -12,6 +13,7 @@ from lotwise.operators import explain as X, models as M, neighbours as N, stacki
 from lotwise.operators.components import fit_components
 from lotwise.operators.encode import select_slots
 from lotwise.operators.features import FEATURES, NUMERIC_FEATURES, TARGET
+from lotwise.operators.hashed_neighbours import knn_hashed
 from lotwise.plans import sqltext as S
 from lotwise.plans.common import builder, feature_table
 from lotwise.plans.registry import plan, rounded
@@ -27,10 +29,20 @@ def data(spark, sf_dir, **kw) -> T.TrainingData:
     return T.prepare(listings(spark, sf_dir), builder(), **kw)
 
 
+def _wide_neighbours(d):
+    return knn_hashed(d.train, d.test, len(d.encoder.names), TARGET, "listing_id")
+
+
 @plan("baseline_learners")
 def baseline_learners(spark, sf_dir):
     d = data(spark, sf_dir)
-    return T.baseline_table(spark, d.train, d.test, ["linear", "tree", "forest", "boosting"])
+    learners = T.baseline_table(spark, d.train, d.test, ["linear", "tree", "forest", "boosting"])
+    start = time.time()
+    overall = d.train.agg(F.avg(TARGET)).first()[0]
+    near = materialize(_wide_neighbours(d)[0], "neighbours").withColumn("prediction", F.coalesce("predicted", F.lit(overall)))
+    took = time.time() - start
+    q = T.quality(d.test.select("listing_id", TARGET).join(near, "listing_id"))
+    return learners.unionByName(spark.createDataFrame([("neighbours", q["r2"], q["mae"], q["rmse"], took)], learners.schema)).orderBy(F.desc("r2"))
 
 
 @plan("rf_importance")
@@ -246,3 +258,10 @@ def knn_price(spark, sf_dir):
     train, test = _scaled_parts(spark, sf_dir)
     out = N.knn_predict(train, test, _NEAR, TARGET, k=5)
     return rounded(out.select("listing_id", TARGET, "predicted"), 6)
+
+
+@plan("knn_price_wide")
+def knn_price_wide(spark, sf_dir):
+    """All 26 features, words as slots; ``recall`` is that of the trial queries."""
+    out, fit = _wide_neighbours(data(spark, sf_dir))
+    return rounded(out.withColumn("recall", F.lit(fit.recall)), 6)
