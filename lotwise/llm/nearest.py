@@ -50,18 +50,11 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, recall: float = TARG
     for r in held:
         filled[r["i"], r["j"]] = r["count"]
     wanted = _candidates_for(coded, index, filled, k, recall)
-    blocks = np.maximum(1, -(-filled.sum(1) // BLOCK)).astype(np.int64)
-    query_blocks = math.ceil(n_queries / BLOCK)
-
-    salt = F.pmod(F.xxhash64("vec_id"), F.get(F.array(*[F.lit(int(b)) for b in blocks]), F.col("i")))
-    entries = coded.select("i", salt.cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"),
-                           "vec_id", "vector", "j")
     queries = coded.where("is_query").select(F.col("vec_id").alias("query_id"), "vector").dropDuplicates(["query_id", "vector"])
-    queries = queries.withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
     queries = queries.repartition(math.ceil(n_queries / 64), "query_id")  # few rows, but much work for each
-    visits = queries.mapInArrow(_visits(index, filled, blocks, wanted),
-                                "query_id long, query_key long, query_block int, vector array<double>, i int, block int, js array<int>")
-    keys = ["i", "block", "query_block"]
+    visits = materialize(queries.mapInArrow(_visits(index, filled, wanted), "query_id long, query_key long, vector array<double>, i int, js array<int>"), "visits")
+    left, right = _meeting(coded.select("i", "j", "vec_id", "vector"), visits, len(index.first), len(index.second))
+    keys = ["i", "part", "block", "query_block"]
 
     def rerank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
@@ -84,7 +77,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, recall: float = TARG
         return pd.DataFrame(out, columns=["query_id", "query_key", "vec_id", "score"]).astype(
             {"query_id": "int64", "query_key": "int64", "vec_id": "int64", "score": "float64"})
 
-    found = entries.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInPandas(rerank, "query_id long, query_key long, vec_id long, score double")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(rerank, "query_id long, query_key long, vec_id long, score double")
     best = Window.partitionBy("query_id", "query_key").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -98,17 +91,47 @@ def _with_cells(index: MultiIndex):
     return run
 
 
-def _visits(index: MultiIndex, filled: np.ndarray, blocks: np.ndarray, wanted: int):
-    """For each query the filled cells it visits, a row for each first code and block of it."""
-    schema = pa.schema([("query_id", pa.int64()), ("query_key", pa.int64()), ("query_block", pa.int32()), ("vector", pa.list_(pa.float64())),
-                        ("i", pa.int32()), ("block", pa.int32()), ("js", pa.list_(pa.int32()))])
+def _meeting(entries: DataFrame, visits: DataFrame, first: int, second: int, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the keys (i, part, block, query_block) on which they meet.
+
+    A first code with more than a block of visits is cut into parts of its second codes, down to single cells, so
+    an entry has one place however many queries there are. Only a part that still has more visits than a block holds its
+    entries once for each block of them; one with more entries than a block shows its visits to each block of those.
+    Parts that no query visits drop out.
+    """
+    cuts = np.ones(first, dtype=np.int64)
+    for r in visits.groupBy("i").count().collect():  # at most a row for each first code
+        cuts[r["i"]] = min(second, -(-r["count"] // block))
+    cut = F.get(F.array(*[F.lit(int(c)) for c in cuts]), F.col("i"))
+    entries = entries.withColumn("part", F.pmod(F.col("j"), cut).cast("int"))
+    visits = visits.withColumn("cut", cut).withColumn("part", F.explode(F.array_distinct(F.transform("js", lambda j: F.pmod(j, F.col("cut")).cast("int")))))
+    visits = visits.withColumn("js", F.filter("js", lambda j: F.pmod(j, F.col("cut")) == F.col("part"))).drop("cut")
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("i", "part").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
+
+    # at most a row for each cell of the grid
+    parts = materialize(blocks(entries, "entry_blocks").join(blocks(visits, "visit_blocks"), ["i", "part"]), "parts")
+
+    def numbers(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    left = entries.join(parts, ["i", "part"]).withColumn("block", F.pmod(F.xxhash64("vec_id"), "entry_blocks").cast("int"))
+    right = visits.join(parts, ["i", "part"]).withColumn("query_block", F.pmod(F.xxhash64("query_id", "query_key"), "visit_blocks").cast("int"))
+    return (left.withColumn("query_block", numbers("visit_blocks")).drop("entry_blocks", "visit_blocks"),
+            right.withColumn("block", numbers("entry_blocks")).drop("entry_blocks", "visit_blocks"))
+
+
+def _visits(index: MultiIndex, filled: np.ndarray, wanted: int):
+    """For each query the filled cells it visits, a row for each first code."""
+    schema = pa.schema([("query_id", pa.int64()), ("query_key", pa.int64()), ("vector", pa.list_(pa.float64())), ("i", pa.int32()), ("js", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             x = matrix(batch.column(1), index.size) if batch.num_rows else np.empty((0, index.size))
             a, b = index.distances(x)
-            for r, (query_id, block) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
+            for r, query_id in enumerate(batch.column(0).to_pylist()):
                 cells: dict[int, list[int]] = {}
                 seen = 0
                 for i, j in traverse(a[r], b[r]):
@@ -118,7 +141,7 @@ def _visits(index: MultiIndex, filled: np.ndarray, blocks: np.ndarray, wanted: i
                         if seen >= wanted:
                             break
                 key = int(np.frombuffer(x[r].tobytes(), dtype=np.int64).sum())  # tells repeated ids apart
-                rows += [(query_id, key, block, x[r], i, s, js) for i, js in cells.items() for s in range(int(blocks[i]))]
+                rows += [(query_id, key, x[r], i, js) for i, js in cells.items()]
             columns = list(zip(*rows)) or [[]] * len(schema)
             yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
     return run

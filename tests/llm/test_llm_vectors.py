@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotwise.llm.multi_index import traverse
-from lotwise.llm.nearest import nearest
+from lotwise.llm.nearest import _meeting, nearest
 from lotwise.llm.vector_dedup import near_duplicates
 
 SCHEMA = "vec_id long, embedding array<float>, label int, rank int, node string, i int"
@@ -83,6 +83,23 @@ def test_nearest_of_odd_vectors(spark):
     check_nearest(spark, rows)
 
 
+@pytest.mark.parametrize("block", [2, 7, 1000])
+def test_each_visit_meets_each_entry_of_its_cells_once(spark, block):
+    rng = np.random.default_rng(block)
+    entries = [(int(rng.integers(4)) if v % 3 else 1, int(rng.integers(5)) if v % 3 else 2, v, [float(v)]) for v in range(120)]
+    visits = [(q, q % 2, [0.5], i, sorted(map(int, rng.choice(5, rng.integers(1, 6), replace=False)))) for q in range(40) for i in range(4) if (q + i) % 3]
+    visits = [v for v in visits if v[3] != 3]  # a code that nobody visits
+    left, right = _meeting(spark.createDataFrame(entries, "i int, j int, vec_id long, vector array<double>"),
+                           spark.createDataFrame(visits, "query_id long, query_key long, vector array<double>, i int, js array<int>"), 4, 5, block)
+    met = left.drop("vector").join(right.drop("vector"), ["i", "part", "block", "query_block"]).where(F.array_contains("js", F.col("j")))
+    got = sorted((r["query_id"], r["vec_id"]) for r in met.collect())
+    assert got == sorted((q, v) for q, _, _, i, js in visits for a, j, v, _ in entries if a == i and j in js)
+    assert left.where("i = 3").count() == 0
+    assert left.groupBy("vec_id").count().agg(F.max("count")).first()[0] <= max(1, -(-len(visits) // block))
+    if block == 1000:  # one block of visits: every entry that is visited has one place
+        assert left.count() == left.select("vec_id").distinct().count()
+
+
 def test_few_and_no_candidates(spark):
     few = [(100 * k, v.tolist(), 1) for k, v in enumerate(clustered(4))]
     check_nearest(spark, few, least=1.0)
