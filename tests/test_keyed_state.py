@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 
 from lotwise.streaming.monitor import sessions
-from lotwise.streaming.replays import ROCKSDB, keyed_state, replays_dropped_for
+from lotwise.streaming.replays import MARKS, ROCKSDB, FirstOfRequest, keyed_state, replays_dropped_for
 from lotwise.streaming.runner import run_to_files
 
 SCHEMA = "request long, client string, at timestamp, value double"
@@ -125,3 +125,49 @@ def test_an_empty_stream_and_the_setting(spark, tmp_path):
         path = run_to_files(replays_dropped_for(as_stream(spark, [[]], tmp_path / "in"), ["request"], "at", KEEP), "none", str(tmp_path / "out"))
     assert spark.conf.get(name, None) == before
     assert spark.read.schema(SCHEMA).parquet(path).count() == 0
+
+
+class CountedState:
+    """Stands for the handle, its value state and its timers; counts the calls."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+
+def test_a_batch_calls_the_state_per_bucket_not_per_request():
+    state = CountedState()
+    first = FirstOfRequest("at", KEEP, ["request", "at"])
+    first.init(state)
+
+    def batch(hours):
+        ids = np.arange(1000)
+        at = pd.to_datetime([START + HOUR * h for h in hours]).tz_localize(None)
+        rows = pd.DataFrame({"request": ids, "at": at, MARKS[0]: ids, MARKS[1]: ids})
+        return sum(len(out) for out in first.handleInputRows((0,), iter([rows.iloc[:400], rows.iloc[400:]]), None))
+
+    assert batch([0.0] * 1000) == 1000 and batch([1.0] * 1000) == 0
+    assert batch([0.0] * 500 + [24 * 20.0] * 500) == 500  # keep has passed for half of them
+    assert state.calls < 20 and len(state.timers) == 1
