@@ -12,13 +12,13 @@ from lotwise.plans import sqltext as S
 from lotwise.plans.common import feature_table
 from lotwise.plans.profiles import _MEASURES, MEASURES
 from lotwise.plans.registry import AS_OF_YEAR, plan, rounded
-from lotwise.sources.listings import listings
+from lotwise.sources.listings import written_listings
 
 _GAPS = [*MEASURES, "annual_insurance"]
 
 
 def _filled(spark, sf_dir):
-    raw = listings(spark, sf_dir)
+    raw = written_listings(spark, sf_dir)
     before = raw.select("listing_id", *[numeric_inputs(raw, FeatureOptions(AS_OF_YEAR))[m].alias(m) for m in MEASURES],
                         F.col("annual_insurance").cast("double").alias("annual_insurance"))
     return before, chained_impute(before, _GAPS)
