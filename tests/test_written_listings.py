@@ -41,4 +41,5 @@ def test_training_reads_the_parts(spark, tmp_path, monkeypatch):
 def test_sums_by_place():
     place, weights, values = np.array([2, 0, 2]), np.array([1.0, 2.0, 3.0]), np.array([[1.0, 2.0], [3.0, 4.0], [5.0, 6.0]])
     assert _added(place, weights, values, 4).tolist() == [[6.0, 8.0], [0.0, 0.0], [16.0, 20.0], [0.0, 0.0]]
-    assert _added(place[:0], weights[:0], values[:0], 2).tolist() == [[0.0, 0.0]] * 2
+    none = _added(place[:0], weights[:0], values[:0], 2)
+    assert none.tolist() == [[0.0, 0.0]] * 2 and none.dtype == float
