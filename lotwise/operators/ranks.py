@@ -52,6 +52,8 @@ def rank_correlations(df: DataFrame, columns: list[str], key: str = "listing_id"
             n = cross[k + i, k + j]
             sx, sy = cross[x + i, k + j], cross[x + j, k + i]
             vx, vy = cross[xx + i, k + j] - sx * sx / n if n else 0.0, cross[xx + j, k + i] - sy * sy / n if n else 0.0
+            # what rounding leaves of equal ranks is no variance
+            vx, vy = vx if vx > 1e-12 * cross[xx + i, k + j] else 0.0, vy if vy > 1e-12 * cross[xx + j, k + i] else 0.0
             spread = math.sqrt(max(vx, 0.0) * max(vy, 0.0))
             rows.append((columns[i], columns[j], int(n), float((cross[x + i, x + j] - sx * sy / n) / spread) if spread > 1e-12 else None))
     return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, rows long, spearman double")
