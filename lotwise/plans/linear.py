@@ -68,5 +68,5 @@ parts AS (SELECT 'car_age' AS feature, n, v, whole, no1 AS part FROM e UNION ALL
 SELECT feature, round(1 - whole / (n * v), 6) AS r2, round(sqrt(whole / n), 6) AS rmse, round(1 - part / (n * v), 6) AS r2_without, round(sqrt(part / n), 6) AS rmse_without,
   round((part - whole) / (n * v), 6) AS r2_loss, round(sqrt(part / n) - sqrt(whole / n), 6) AS rmse_growth FROM parts""")
 def ablation_refit_pair(spark, sf_dir):
-    train, test = train_test(feature_table(spark, sf_dir, names=False).select("listing_id", TARGET, *_TWO))
+    train, test = train_test(feature_table(spark, sf_dir, numbers=["price", "year", "engine_size_cc"], names=False).select("listing_id", TARGET, *_TWO))
     return rounded(ablation(train, test, _TWO, TARGET), 6)
