@@ -10,6 +10,7 @@ from lotwise.operators.split import fold, train_test
 from lotwise.plans import sqltext as S
 from lotwise.plans.common import feature_table
 from lotwise.plans.registry import plan, rounded
+from lotwise.sources.scratch import materialize
 
 _NUMERIC = ["annual_insurance", "car_age", "mileage_num", "mileage_log", "horse_power_num", "power_per_cc", "is_luxury_make"]
 _TRAIN = f"WHERE {S.bucket('listing_id')} < 80"
@@ -100,7 +101,7 @@ def encoded_slots(spark, sf_dir):
 def low_variance_slots(spark, sf_dir):
     from lotwise.operators.training import slot_variances
 
-    train, _ = train_test(feature_table(spark, sf_dir))
+    train = materialize(train_test(feature_table(spark, sf_dir))[0], "train-features")
     enc = E.fit_preprocessor(train)
     out = slot_variances(enc.transform(train, ["listing_id"]), enc.names).select(F.col("name").alias("slot"), F.round("variance", 4).alias("variance"))
     return out.withColumn("low", F.col("variance") <= 0.001)
