@@ -140,7 +140,7 @@ fit AS (SELECT regr_slope(annual_insurance, price_log) AS b, regr_intercept(annu
 SELECT listing_id, round(coalesce(annual_insurance, a + b * price_log), 2) AS annual_insurance,
   round(coalesce(annual_insurance, greatest(a + b * price_log, low)), 2) AS with_floor FROM features CROSS JOIN fit""")
 def insurance_one_column_fill(spark, sf_dir):
-    df = feature_table(spark, sf_dir).select("listing_id", "annual_insurance", "price_log", F.col("annual_insurance").alias("with_floor"))
+    df = feature_table(spark, sf_dir, numbers=["price"], names=False).select("listing_id", "annual_insurance", "price_log", F.col("annual_insurance").alias("with_floor"))
     train, _ = train_test(df)
     filled = E.regression_fill(df, "annual_insurance", ["price_log"], train)
     filled = E.regression_fill(filled, "with_floor", ["price_log"], train, floor=True)

@@ -38,6 +38,20 @@ def test_training_reads_the_parts(spark, tmp_path, monkeypatch):
     assert len(data(spark, folder).train.inputFiles()) > 1
 
 
+def test_a_large_part_table_is_not_sent_whole(spark, tmp_path, monkeypatch):
+    folder = tables(spark, tmp_path, 1000)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    parts = lambda df: df.select("listing_id", F.input_file_name().alias("f")).groupBy("f").agg(F.collect_list("listing_id").alias("ids")).select("ids").collect()
+    monkeypatch.setattr(L, "PART_ROWS", 100)
+    sent = L.written_listings(spark, folder)
+    monkeypatch.setattr(L, "MOST_SENT", 5)
+    orders, part = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("orders", "part"))
+    plan = L.from_orders(orders.select(*L.ORDER_COLUMNS), part)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    shuffled = L.written_listings(spark, folder)
+    assert rows(shuffled) == rows(sent) and sorted(map(repr, parts(shuffled))) == sorted(map(repr, parts(sent)))
+
+
 def test_sums_by_place():
     place, weights, values = np.array([2, 0, 2]), np.array([1.0, 2.0, 3.0]), np.array([[1.0, 2.0], [3.0, 4.0], [5.0, 6.0]])
     assert _added(place, weights, values, 4).tolist() == [[6.0, 8.0], [0.0, 0.0], [16.0, 20.0], [0.0, 0.0]]
