@@ -178,3 +178,12 @@ def test_prepared_tables(spark, data, tmp_path):
     assert read_latest(spark, f"{tmp_path}/y_test").columns == ["listing_id", "price_log"]
     assert read_names(spark, f"{tmp_path}/names/{stamp}") == data.encoder.names
     assert PipelineModel.load(f"{tmp_path}/encoder/{stamp}").transform(data.test.drop("features")).count() == data.test.count()
+
+
+def test_the_test_part_is_written_when_asked_for(raw, monkeypatch):
+    written = []
+    monkeypatch.setattr(T, "materialize", lambda df, label, write=T.materialize: written.append(label) or write(df, label))
+    d = T.prepare(raw, builder(), numeric=["car_age"], text=["fuel_type_cleaned"])
+    assert written == ["train-features", "train-vectors"]
+    assert d.test.columns == d.train.columns[:d.train.columns.index("fold")] + ["features"] and d.test is d.test
+    assert written[2:] == ["test-vectors"] and d.train.count() + d.test.count() == raw.count()

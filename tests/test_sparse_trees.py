@@ -87,3 +87,16 @@ def test_cuts():
     assert S.cuts_of(np.array([1.0, 1.0, 3.0, np.nan]), 2, 32).tolist() == [0.5, 2.0]
     assert S.cuts_of(np.array([1.0]), 0, 32).tolist() == [] and S.cuts_of(np.array([]), 5, 32).tolist() == []
     assert len(S.cuts_of(np.arange(1.0, 1001), 0, 32)) == 31
+
+
+def test_codes_of_words_need_no_search(monkeypatch):
+    """Slots with one cut, which words have, are coded together; the codes are those of a search in each slot's cuts."""
+    draw = np.random.default_rng(5)
+    bins = S.Bins([np.array([-0.5, 0.2, 1.0]), *[np.array([0.5])] * 200, np.zeros(0), np.array([-0.5]), np.array([-1.0, 0.0])])
+    slots = draw.integers(0, 204, 5000)
+    values = np.where(draw.random(5000) < 0.1, draw.choice([0.5, -0.5, 1.0, np.nan, np.inf], 5000), draw.normal(size=5000))
+    want = [-1 if bins.first[s] < 0 else bins.code[bins.first[s] + np.searchsorted(bins.cuts[s], v)] for s, v in zip(slots, values)]
+    asked, search = [], np.searchsorted
+    monkeypatch.setattr(S.np, "searchsorted", lambda cuts, v: asked.append(len(cuts)) or search(cuts, v))
+    assert bins.codes(slots, values).tolist() == want and sorted(asked) == [2, 3]
+    assert bins.codes(np.zeros(0, int), np.zeros(0)).tolist() == []
