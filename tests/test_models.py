@@ -187,3 +187,23 @@ def test_the_test_part_is_written_when_asked_for(raw, monkeypatch):
     assert written == ["train-features", "train-vectors"]
     assert d.test.columns == d.train.columns[:d.train.columns.index("fold")] + ["features"] and d.test is d.test
     assert written[2:] == ["test-vectors"] and d.train.count() + d.test.count() == raw.count()
+
+
+def _meeting(monkeypatch, most):
+    """Trees whose fits wait for ``most`` others: one after the other they would break the barrier."""
+    import threading
+
+    from lotwise.operators import sparse_trees
+
+    barrier, fit = threading.Barrier(most), sparse_trees.SparseTree._fit
+    monkeypatch.setattr(sparse_trees.SparseTree, "_fit", lambda self, df: (barrier.wait(60), fit(self, df))[1])
+
+
+def test_folds_of_an_elimination_are_fitted_side_by_side(data, monkeypatch):
+    names = data.encoder.names
+    _meeting(monkeypatch, T.FOLDS)
+    (slots, r2, keep), = T.eliminate(data.train, names, "tree", least=len(names), maxDepth=2)
+    monkeypatch.undo()
+    alone = [T.quality(T.learner("tree", maxDepth=2).fit(data.train.where(F.col("fold") != f)).transform(data.train.where(F.col("fold") == f)))["r2"]
+             for f in range(T.FOLDS)]
+    assert slots == len(names) == len(keep) and r2 == pytest.approx(np.mean(alone))
