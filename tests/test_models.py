@@ -199,6 +199,17 @@ def _meeting(monkeypatch, most):
     monkeypatch.setattr(sparse_trees.SparseTree, "_fit", lambda self, df: (barrier.wait(60), fit(self, df))[1])
 
 
+def test_folds_of_a_stack_are_fitted_side_by_side(data, monkeypatch):
+    _meeting(monkeypatch, T.FOLDS)
+    oof = stacking.out_of_fold(data.train, {"tree": T.learner("tree", maxDepth=2)})
+    monkeypatch.undo()
+    assert oof.count() == data.train.count()
+    # the models keep their folds
+    alone = T.learner("tree", maxDepth=2).fit(data.train.where("fold <> 3")).transform(data.train.where("fold = 3"))
+    both = oof.where("fold = 3").join(alone.select("listing_id", "prediction"), "listing_id")
+    assert both.count() and both.where("abs(p_tree - prediction) > 1e-9").count() == 0
+
+
 def test_folds_of_an_elimination_are_fitted_side_by_side(data, monkeypatch):
     names = data.encoder.names
     _meeting(monkeypatch, T.FOLDS)
