@@ -115,7 +115,9 @@ def contributions(trees: list[tuple[float, Node]], slots: dict[int, np.ndarray],
                 code = np.zeros(rows, dtype=np.int64)
                 for k, name in enumerate(names):
                     code |= known[name][0].astype(np.int64) << k
-                present, place = np.unique(code, return_inverse=True)
+                # a path has few members, so patterns are counted, not sorted
+                seen = np.bincount(code, minlength=1 << len(names)) > 0
+                present, place = np.flatnonzero(seen), (np.cumsum(seen) - 1)[code]
                 through = (present[:, None] >> np.arange(len(names)) & 1).astype(float)
                 share = leaf_shares(through, np.array([known[n][1] for n in names])) * (weight * node.value)
                 for k, name in enumerate(names):

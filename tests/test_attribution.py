@@ -147,3 +147,15 @@ def _sample(df, n, seed):
     from lotwise.operators.split import sample_rows
 
     return sample_rows(df.select("listing_id", "a", "b", "c"), n, "listing_id", **({} if seed is None else {"seed": seed})).collect()
+
+
+def test_patterns_of_a_leaf_are_not_sorted(monkeypatch):
+    """Shares don't depend on the batch that a row is in, and no leaf sorts its rows."""
+    from lotwise.operators import tree_shapley as module
+
+    rng = np.random.default_rng(8)
+    trees, x = [(1.0, random_tree(rng, 6, 5))], rng.normal(size=(40, 5))
+    monkeypatch.setattr(module.np, "unique", lambda *a, **kw: pytest.fail("rows were sorted"))
+    whole = contributions(trees, {s: x[:, s] for s in range(5)}, [0, 1, 2, 3, 4], 5, 40)
+    for k in range(40):
+        assert whole[:, k] == pytest.approx(contributions(trees, {s: x[k:k + 1, s] for s in range(5)}, [0, 1, 2, 3, 4], 5, 1)[:, 0], abs=1e-12)
