@@ -9,7 +9,6 @@ sides, distances are exact, on the whole vectors.
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,32 +44,43 @@ class Tables:
         bins = (y[..., None] >= self.cuts[None]).sum(axis=-1)
         return bins @ (BINS ** np.arange(self.cuts.shape[1]))
 
-    def visits(self, y: np.ndarray, probes: int) -> list[list[int]]:
-        """Per table the ``probes`` nearest cells of one row, by the distance to them along the directions."""
+    def visits(self, y: np.ndarray, probes: int) -> list[np.ndarray]:
+        """Per table the ``probes`` nearest cells of each row, by the distance to them along the directions."""
         out = []
         for table, cuts in enumerate(self.cuts):
             low = np.concatenate([np.full((len(cuts), 1), -np.inf), cuts], axis=1)
             high = np.concatenate([cuts, np.full((len(cuts), 1), np.inf)], axis=1)
-            v = y[table][:, None]
-            gap = np.maximum(np.maximum(low - v, v - high), 0.0) ** 2
-            out.append(_nearest_cells(gap, probes))
+            step = max(1, 500_000 // (probes * BINS))  # rows whose cells are compared at a time
+            found = []
+            for a in range(0, len(y), step):
+                v = y[a:a + step, table, :, None]
+                found.append(_nearest_of_rows(np.maximum(np.maximum(low - v, v - high), 0.0) ** 2, probes))
+            out.append(np.concatenate(found) if found else np.zeros((0, 0), dtype=np.int64))
         return out
 
 
+def _nearest_of_rows(gap: np.ndarray, probes: int) -> np.ndarray:
+    """Cells of each row's grid by the sum of their gaps (rows x directions x bins), smallest first, equal ones by
+    their steps along the sorted bins. A direction at a time: only the ``probes`` best beginnings go on."""
+    n, directions, _ = gap.shape
+    order = np.argsort(gap, axis=2, kind="stable")
+    ranked = np.take_along_axis(gap, order, axis=2)
+    total, cell = np.zeros((n, 1)), np.zeros((n, 1), dtype=np.int64)
+    for d in range(directions):
+        width = total.shape[1] * BINS
+        total = (total[:, :, None] + ranked[:, d, None, :]).reshape(n, width)
+        cell = (cell[:, :, None] + order[:, d, None, :] * BINS ** d).reshape(n, width)
+        if width > probes:
+            limit = np.partition(total, probes - 1, axis=1)[:, probes - 1:probes]
+            below, equal = total < limit, total == limit
+            equal &= np.cumsum(equal, axis=1) <= probes - below.sum(axis=1, keepdims=True)
+            kept = below | equal
+            total, cell = total[kept].reshape(n, probes), cell[kept].reshape(n, probes)
+    return np.take_along_axis(cell, np.argsort(total, axis=1, kind="stable"), axis=1)
+
+
 def _nearest_cells(gap: np.ndarray, probes: int) -> list[int]:
-    """Cells of a grid by the sum of their gaps, smallest first: a heap over steps along the sorted bins."""
-    order = np.argsort(gap, axis=1, kind="stable")
-    ranked = np.take_along_axis(gap, order, axis=1)
-    start = (0,) * len(gap)
-    heap, seen, found = [(float(ranked[:, 0].sum()), start)], {start}, []
-    while heap and len(found) < probes:
-        total, at = heapq.heappop(heap)
-        found.append(sum(int(order[d, b]) * BINS ** d for d, b in enumerate(at)))
-        for d, b in enumerate(at):
-            if b + 1 < BINS and (step := (*at[:d], b + 1, *at[d + 1:])) not in seen:
-                seen.add(step)
-                heapq.heappush(heap, (total + float(ranked[d, b + 1] - ranked[d, b]), step))
-    return found
+    return _nearest_of_rows(gap[None], probes)[0].tolist()
 
 
 def _dense(vectors: pa.StructArray, used: np.ndarray) -> np.ndarray:
@@ -150,10 +160,9 @@ def _fit(points: DataFrame, queries: DataFrame, size: int, count: int, k: int, r
     if not len(true):
         return out
     at = out.cells(out.along(_struct(true)))
-    visits = [out.visits(y, most) for y in out.along(asked)]
-    ranks = [min(visits[q][t].index(c) if c in visits[q][t] else most for t, c in enumerate(cells))
-             for q, cells in zip(true["q"].to_pylist(), at.tolist())]
-    ranks = np.array(ranks)
+    visits, q = out.visits(out.along(asked), most), true["q"].to_numpy()
+    hits = [visited[q] == at[:, t, None] for t, visited in enumerate(visits)]
+    ranks = np.min([np.where(hit.any(axis=1), hit.argmax(axis=1), most) for hit in hits], axis=0)
     steps = [p for p in range(1, most + 1) if (ranks < p).mean() >= recall]
     out.probes = steps[0] if steps else most
     out.recall = float((ranks < out.probes).mean())
@@ -170,8 +179,9 @@ def _placed(df: DataFrame, tables: Tables, keep: list[str], probes: int | None)
                 row, table = (i.ravel() for i in np.indices((len(y), len(tables.cuts))))
                 cell = tables.cells(y).ravel()
             else:
-                visits = [(i, t, c) for i, one in enumerate(y) for t, cells in enumerate(tables.visits(one, probes)) for c in cells]
-                row, table, cell = np.array(visits, dtype=np.int64).reshape(-1, 3).T
+                visits = np.stack(tables.visits(y, probes), axis=1)
+                row, table = (i.ravel() for i in np.indices(visits.shape)[:2])
+                cell = visits.ravel()
             taken = batch.take(pa.array(row))
             yield pa.record_batch([*taken.columns, pa.array(table, pa.int32()), pa.array(cell, pa.int64())], names=[*keep, "v", "t", "cell"])
 

@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from lotwise.operators.hashed_neighbours import _nearest_cells, knn_hashed
+from lotwise.operators.hashed_neighbours import _nearest_cells, _nearest_of_rows, knn_hashed
 from tests.test_neighbours import brute
 
 
@@ -72,3 +72,17 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert knn_hashed(train, asked.limit(0), 60, "y", "id")[0].count() == 0
     none = knn_hashed(train.limit(0), asked, 60, "y", "id")[0].collect()
     assert len(none) == 6 and all(r["predicted"] is None and r["found"] == 0 for r in none)
+
+
+def test_cells_of_many_rows_at_once():
+    """Rows of a batch get the cells that each gets alone, equal sums in the order of their steps."""
+    rng = np.random.default_rng(9)
+    gap = np.round(rng.random((50, 5, 4)), 1)
+    gap[:, :, 1] = 0
+    found = _nearest_of_rows(gap, 40)
+    assert found.shape == (50, 40)
+    for one, cells in zip(gap, found.tolist()):
+        order = np.argsort(one, axis=1, kind="stable")
+        steps = sorted(np.ndindex(*[4] * 5), key=lambda at: (sum(one[d, order[d, b]] for d, b in enumerate(at)), at))
+        assert cells == [sum(int(order[d, b]) * 4 ** d for d, b in enumerate(at)) for at in steps[:40]]
+    assert _nearest_of_rows(gap[:0], 3).shape == (0, 3)
