@@ -5,6 +5,10 @@ sample; a point lies in one cell of each table, and a query visits the cells nex
 measured: trial queries are searched exactly, and the probes reach the wanted recall on them. Tables get more
 directions as points grow, so a cell holds about as many at any size. Crowded cells are dealt in blocks on both
 sides, distances are exact, on the whole vectors.
+
+Each visit of a cell carries the query's vector, and neighbours lie the wider the more directions a table has. So
+above ``GRID_POINTS`` points the tables give way to cells around centres (``cell_neighbours.py``), of which fewer
+points must be visited for the same recall, and which a query reaches by parts.
 """
 
 from __future__ import annotations
@@ -18,11 +22,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lotwise.operators.cell_neighbours import Cells, fit_cells, visit_cells
 from lotwise.operators.components import _along, _entries, fit_components
 from lotwise.operators.neighbours import DIGITS, nearest_mean
 from lotwise.sources.scratch import materialize
 
 BINS = 4
+#: Distinct points up to which the tables are used.
+GRID_POINTS = 2 ** 16
 
 
 @dataclass
@@ -140,6 +147,26 @@ def _true_neighbours(points: DataFrame, trials: pa.StructArray, k: int) -> DataF
     return parts.groupBy("q").agg(first).select("q", F.inline("best"))
 
 
+def _trial(points: DataFrame, queries: DataFrame, k: int, trials: int, seed: int) -> tuple[pa.StructArray, pa.StructArray, np.ndarray]:
+    """Trial queries, their true neighbours and the query of each: ``trials`` queries and k points of each at most."""
+    asked = _struct(queries.select("v").orderBy(F.xxhash64("v", F.lit(seed)), "v").limit(trials).toArrow())
+    true = _true_neighbours(points, asked, k).toArrow()
+    return asked, _struct(true), true["q"].to_numpy()
+
+
+def _fitted_cells(points: DataFrame, queries: DataFrame, size: int, count: int, k: int, recall: float, sample: int, trials: int, seed: int) -> Cells:
+    """Cells around centres; as many are visited as reach the recall on the trials, all of them if need be."""
+    out = fit_cells(points, size, count, sample, seed)
+    asked, true, q = _trial(points, queries, k, trials, seed)
+    if len(q):
+        at = out.nearest(out.reduced(true))
+        ranks = (out.nearest(out.reduced(asked), len(out.centres))[q] == at).argmax(axis=1)
+        reached = np.cumsum(np.bincount(ranks, minlength=len(out.centres))) / len(ranks)
+        out.probes = int(min(np.searchsorted(reached, recall) + 1, len(out.centres)))
+        out.recall = float(reached[out.probes - 1])
+    return out
+
+
 def _fit(points: DataFrame, queries: DataFrame, size: int, count: int, k: int, recall: float, tables: int, cell: int,
          sample: int, trials: int, most: int, seed: int) -> Tables:
     by_hash = F.xxhash64("v", F.lit(seed))
@@ -154,13 +181,11 @@ def _fit(points: DataFrame, queries: DataFrame, size: int, count: int, k: int, r
     out = Tables(axes.mean, np.hstack([axes.axes @ t for t in turns]), np.zeros((tables, m, BINS - 1)))
     column = _struct(some.toArrow())
     out.cuts = np.moveaxis(np.quantile(out.along(column), np.arange(1, BINS) / BINS, axis=0), 0, -1)
-    # at most `trials` queries and k points of each come to the driver
-    asked = _struct(queries.select("v").orderBy(by_hash, "v").limit(trials).toArrow())
-    true = _true_neighbours(points, asked, k).toArrow()
-    if not len(true):
+    asked, true, q = _trial(points, queries, k, trials, seed)
+    if not len(q):
         return out
-    at = out.cells(out.along(_struct(true)))
-    visits, q = out.visits(out.along(asked), most), true["q"].to_numpy()
+    at = out.cells(out.along(true))
+    visits = out.visits(out.along(asked), most)
     hits = [visited[q] == at[:, t, None] for t, visited in enumerate(visits)]
     ranks = np.min([np.where(hit.any(axis=1), hit.argmax(axis=1), most) for hit in hits], axis=0)
     steps = [p for p in range(1, most + 1) if (ranks < p).mean() >= recall]
@@ -197,25 +222,8 @@ def _block_of(key: str, blocks: str) -> Column:
     return F.pmod(F.xxhash64(key), F.col(blocks)).cast("int")
 
 
-def knn_hashed(train: DataFrame, queries: DataFrame, size: int, target: str, key: str, k: int = 5, features: str = "features",
-               out: str = "predicted", recall: float = 0.97, tables: int = 4, cell: int = 512, block: int = 4096,
-               sample: int = 8192, trials: int = 128, most: int = 256, seed: int = 42) -> tuple[DataFrame, Tables]:
-    """(key, prediction, found) of each query, and the tables with the recall measured on the trials.
-
-    The prediction is the mean target of the k nearest points found; equal distances share what weight is left.
-    ``found`` is the number of points behind it, NULL predictions have none (no point near the query, or no
-    training rows). Directions and cuts come from ``sample`` points, probes (``most`` at most) from ``trials``
-    queries searched among all points; every point is placed in all ``tables``. Training rows without a target
-    or vector don't count, queries without a vector find nothing, repeated keys have a row each. NaN in a vector
-    isn't allowed.
-    """
-    vector = F.unwrap_udt(F.col(features)).alias("v")
-    points = train.where(F.col(target).isNotNull() & F.col(features).isNotNull()).select(vector, F.col(target).cast("double").alias("y"))
-    points = points.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"))
-    points = materialize(points.withColumn("pid", F.monotonically_increasing_id()), "hash-points")
-    rows = queries.select(F.col(key), vector)
-    asked = materialize(rows.where("v IS NOT NULL").select("v").distinct().withColumn("qid", F.monotonically_increasing_id()), "hash-queries")
-    fit = _fit(points, asked, size, points.count(), k, recall, tables, cell, sample, trials, most, seed)
+def _visit_tables(points: DataFrame, asked: DataFrame, fit: Tables, k: int, block: int) -> DataFrame:
+    """(qid, dist, n, s) of the k nearest points that each query finds in each block of its cells."""
     held = materialize(_placed(points, fit, ["pid", "n", "s"], None), "hash-held")
     visits = materialize(_placed(asked, fit, ["qid"], fit.probes), "hash-visits")
     # cells that hold points and are visited; both sides in blocks that meet one by one
@@ -238,7 +246,36 @@ def knn_hashed(train: DataFrame, queries: DataFrame, size: int, target: str, key
         lambda q, p: search(q, p), "qid long, pid long, n long, s double, dist double")
     # a point may be found in several tables
     once = found.groupBy("qid", "pid").agg(*[F.first(c).alias(c) for c in ("n", "s", "dist")])
-    levels = once.groupBy("qid", "dist").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    return once.select("qid", "dist", "n", "s")
+
+
+def knn_hashed(train: DataFrame, queries: DataFrame, size: int, target: str, key: str, k: int = 5, features: str = "features",
+               out: str = "predicted", recall: float = 0.97, tables: int = 4, cell: int = 512, block: int = 4096,
+               sample: int = 8192, trials: int = 128, most: int = 256, seed: int = 42) -> tuple[DataFrame, Tables | Cells]:
+    """(key, prediction, found) of each query, and the tables with the recall measured on the trials.
+
+    The prediction is the mean target of the k nearest points found; equal distances share what weight is left.
+    ``found`` is the number of points behind it, NULL predictions have none (no point near the query, or no
+    training rows). Directions and cuts come from ``sample`` points, probes (``most`` at most) from ``trials``
+    queries searched among all points; every point is placed in all ``tables``, or above ``GRID_POINTS`` distinct
+    points in one cell, of which as many are visited as the recall needs. Training rows without a target or
+    vector don't count, queries without a vector find nothing, repeated keys have a row each. NaN in a vector isn't
+    allowed.
+    """
+    vector = F.unwrap_udt(F.col(features)).alias("v")
+    points = train.where(F.col(target).isNotNull() & F.col(features).isNotNull()).select(vector, F.col(target).cast("double").alias("y"))
+    points = points.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"))
+    points = materialize(points.withColumn("pid", F.monotonically_increasing_id()), "hash-points")
+    rows = queries.select(F.col(key), vector)
+    asked = materialize(rows.where("v IS NOT NULL").select("v").distinct().withColumn("qid", F.monotonically_increasing_id()), "hash-queries")
+    count = points.count()
+    if count > GRID_POINTS:
+        fit = _fitted_cells(points, asked, size, count, k, recall, sample, trials, seed)
+        found = visit_cells(points, asked, fit, k)
+    else:
+        fit = _fit(points, asked, size, count, k, recall, tables, cell, sample, trials, most, seed)
+        found = _visit_tables(points, asked, fit, k, block)
+    levels = found.groupBy("qid", "dist").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     means = levels.groupBy("qid").agg(nearest_mean(k).alias(out), F.least(F.sum("n"), F.lit(k)).cast("long").alias("found"))
     by_vector = asked.join(means, "qid").select(F.col("v").alias("_v"), out, "found")
     both = rows.join(by_vector, F.col("v") == F.col("_v"), "left")
