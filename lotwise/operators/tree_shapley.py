@@ -8,17 +8,20 @@ path a closed-form share, which depends only on which members let the row throug
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import VectorSlicer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from lotwise.operators.components import _entries
 from lotwise.operators.encode import Preprocessor
 from lotwise.sources.scratch import new_path
 
+#: Members of a path up to which the shares of all codes are kept, and bytes of those that a task keeps.
+MOST_BITS, TABLE_BYTES = 10, 64_000_000
+
 
 @dataclass
 class Node:
@@ -104,34 +107,85 @@ def leaf_shares(let_through: np.ndarray, shares: np.ndarray) -> np.ndarray:
     return out
 
 
+class Shares:
+    """Contributions to trees, for one batch of rows after the other.
+
+    A row's code has a bit for each member of the path so far: whether the row passes all its splits. What leaves
+    give by code is the same for all batches; it is kept up to ``TABLE_BYTES``. Two leaves of a split count as one.
+    """
+
+    def __init__(self, trees: list[tuple[float, Node]], members: list[int], n_members: int) -> None:
+        self.trees, self.members, self.n_members = trees, members, n_members
+        self.tables: dict[int, tuple[list[int], np.ndarray]] = {}
+        self.bytes = 0
+
+    def of(self, slots: Callable[[Node], dict[int, np.ndarray]], rows: int) -> np.ndarray:
+        """(members x rows) shares; ``slots`` gives the values of each slot that a tree uses."""
+        out = np.zeros((self.n_members, rows))
+        for weight, root in self.trees:
+            values = slots(root)
+
+            def visit(node: Node, known: dict[int, float], code: np.ndarray) -> None:
+                if node.left is None:
+                    if known and node.value:
+                        self._add(out, node, code, len(known), lambda: (list(known), self._leaf(node, known, weight)))
+                    return
+                left = node.goes_left(values[node.slot])
+                member = self.members[node.slot]
+                if node.left.left is None and node.right.left is None:
+                    bits = len(known) + 1
+                    self._add(out, node, code | left.astype(np.intp) << len(known), bits, lambda: self._pair(node, known, member, weight))
+                    return
+                bit = list(known).index(member) if member in known else len(known)
+                for child, side in ((node.left, left), (node.right, ~left)):
+                    side = side.astype(np.intp) << bit
+                    below = code & (side | ~(1 << bit)) if member in known else code | side
+                    visit(child, known | {member: known.get(member, 1.0) * child.weight / node.weight}, below)
+
+            visit(root, {}, np.zeros(rows, dtype=np.intp))
+        return out
+
+    def _add(self, out: np.ndarray, node: Node, code: np.ndarray, bits: int, make) -> None:
+        names, table = self.tables.get(id(node), (None, None))
+        if names is None:
+            names, give = make()
+            if bits > MOST_BITS:  # only the codes that occur
+                present, code = np.unique(code, return_inverse=True)
+                table = give(present)
+            else:
+                table = give(np.arange(1 << bits))
+                if self.bytes + table.nbytes <= TABLE_BYTES:
+                    self.tables[id(node)] = names, table
+                    self.bytes += table.nbytes
+        for name, share in zip(names, table):
+            out[name] += share.take(code)
+
+    @staticmethod
+    def _leaf(leaf: Node, known: dict[int, float], weight: float):
+        """What the leaf gives its members (rows) for each code."""
+        shares, places = np.array(list(known.values())), np.arange(len(known))
+        return lambda codes: np.ascontiguousarray(leaf_shares((codes[:, None] >> places & 1).astype(float), shares).T) * (weight * leaf.value)
+
+    def _pair(self, node: Node, known: dict[int, float], member: int, weight: float):
+        """The same for both leaves of a split, whose side is the last bit of a code."""
+        names, top = list(known | {member: 1.0}), len(known)
+        bit = names.index(member)
+
+        def give(codes: np.ndarray) -> np.ndarray:
+            left, out = codes >> top & 1, np.zeros((len(names), len(codes)))
+            for child, side in ((node.left, left), (node.right, 1 - left)):
+                if child.value:
+                    passed = side if member not in known else codes >> bit & side
+                    below = codes & ~(1 << top) & ~(1 << bit) | passed << bit
+                    out += self._leaf(child, known | {member: known.get(member, 1.0) * child.weight / node.weight}, weight)(below)
+            return out
+
+        return names, give
+
+
 def contributions(trees: list[tuple[float, Node]], slots: dict[int, np.ndarray], members: list[int], n_members: int, rows: int) -> np.ndarray:
     """(members x rows) shares of a batch. ``slots`` has the values of each slot used, ``members`` the member of each slot."""
-    out = np.zeros((n_members, rows))
-
-    def visit(node: Node, weight: float, known: dict[int, tuple[np.ndarray, float]]) -> None:
-        if node.left is None:
-            if known and node.value:
-                names = list(known)
-                code = np.zeros(rows, dtype=np.int64)
-                for k, name in enumerate(names):
-                    code |= known[name][0].astype(np.int64) << k
-                # a path has few members, so patterns are counted, not sorted
-                seen = np.bincount(code, minlength=1 << len(names)) > 0
-                present, place = np.flatnonzero(seen), (np.cumsum(seen) - 1)[code]
-                through = (present[:, None] >> np.arange(len(names)) & 1).astype(float)
-                share = leaf_shares(through, np.array([known[n][1] for n in names])) * (weight * node.value)
-                for k, name in enumerate(names):
-                    out[name] += share[place, k]
-            return
-        left = node.goes_left(slots[node.slot])
-        member = members[node.slot]
-        through, share = known.get(member, (np.ones(rows, dtype=bool), 1.0))
-        for child, side in ((node.left, left), (node.right, ~left)):
-            visit(child, weight, known | {member: (through & side, share * child.weight / node.weight)})
-
-    for weight, root in trees:
-        visit(root, weight, {})
-    return out
+    return Shares(trees, members, n_members).of(lambda root: slots, rows)
 
 
 def used_slots(node: Node) -> set[int]:
@@ -155,22 +209,41 @@ def tree_shapley(df: DataFrame, model, columns: list[str], key: str = "listing_i
     trees = read_trees(model)
     names = list(dict.fromkeys(columns))
     members = [names.index(c) for c in columns]
-    used = sorted(set().union(*(used_slots(root) for _, root in trees)))
+    used = set().union(*(used_slots(root) for _, root in trees))
     base = math.fsum(w * expected(root) for w, root in trees)
 
-    @F.arrow_udf("array<double>")
-    def shares(vectors: pa.Array) -> pa.Array:
-        n = len(vectors)
-        flat = vectors.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, len(used)))
-        out = contributions(trees, {s: flat[:, k] for k, s in enumerate(used)}, members, len(names), n)
-        offsets = pa.array(np.arange(n + 1, dtype=np.int32) * len(names))
-        return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(out.T).ravel()))
+    of_tree = [np.array(sorted(used_slots(root)), dtype=np.int64) for _, root in trees]
+    size = len(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shares = Shares(trees, members, len(names))
+        mine = {id(root): slots for (_, root), slots in zip(trees, of_tree)}
+        for batch in batches:
+            n = len(batch)
+            rows, slots, v, present = _entries(batch.column(1))
+            if len(present) < n:
+                raise ValueError("a row to explain has no vector")
+
+            def values(root: Node) -> dict[int, np.ndarray]:
+                """The slots of one tree at a time; rows stay sparse."""
+                place = np.full(size, -1)
+                place[mine[id(root)]] = np.arange(len(mine[id(root)]))
+                at = place[slots]
+                hit = np.flatnonzero(at >= 0)
+                out = np.zeros((len(mine[id(root)]), n))
+                out[at[hit], rows[hit]] = v[hit]
+                return dict(zip(mine[id(root)].tolist(), out))
+
+            out = shares.of(values, n)
+            offsets = pa.array(np.arange(n + 1, dtype=np.int32) * len(names))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(out.T).ravel()))
+            yield pa.record_batch([batch.column(0), lists], names=[key, "_shares"])
 
     if not used:
         values = F.array_repeat(F.lit(0.0), len(names))
         rows = df.select(key, values.alias("_shares"))
     else:
-        cut = VectorSlicer(inputCol=features, outputCol="_used", indices=used).transform(df.select(key, features))
-        rows = cut.select(key, shares(vector_to_array("_used")).alias("_shares"))
+        vectors = df.select(key, F.unwrap_udt(F.col(features)).alias("_v"))
+        rows = vectors.mapInArrow(run, vectors.select(key, F.array(F.lit(0.0)).alias("_shares")).schema)
     entries = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("feature"), F.col("_shares").alias("contribution"))
     return rows.select(key, F.inline(entries), F.lit(base).alias("base"))

@@ -6,9 +6,10 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from lotwise.operators import training as T
+from lotwise.operators import training as T, tree_shapley as X
 from lotwise.operators.kernel_shapley import coalitions, kernel_shapley, solution
 from lotwise.operators.tree_shapley import Node, contributions, expected, leaf_shares, read_trees, slot_columns, tree_shapley
+from lotwise.sources.scratch import materialize
 
 
 def by_subsets(value, n):
@@ -159,3 +160,32 @@ def test_patterns_of_a_leaf_are_not_sorted(monkeypatch):
     whole = contributions(trees, {s: x[:, s] for s in range(5)}, [0, 1, 2, 3, 4], 5, 40)
     for k in range(40):
         assert whole[:, k] == pytest.approx(contributions(trees, {s: x[k:k + 1, s] for s in range(5)}, [0, 1, 2, 3, 4], 5, 1)[:, 0], abs=1e-12)
+
+
+def test_rows_to_explain_stay_sparse(small, capsys):
+    """Their vectors are sent as they are; an array of all slots that the trees use was made of each row."""
+    model = T.learner("tree", maxDepth=3).fit(small)
+    small = materialize(small, "small")
+    tree_shapley(small, model, list("abcd")).explain()
+    assert "UDF(" not in capsys.readouterr().out
+    none = small.withColumn("features", F.when(F.col("listing_id") > 0, F.col("features")))
+    with pytest.raises(Exception, match="has no vector"):
+        tree_shapley(none, model, list("abcd")).collect()
+
+
+def test_shares_of_a_code_are_computed_once(monkeypatch):
+    """Batches after the first read them; a table that is too wide is made for the codes that occur."""
+    rng = np.random.default_rng(12)
+    trees = [(1.0, random_tree(rng, 6, 5)), (0.5, random_tree(rng, 5, 5))]
+    x = rng.normal(size=(60, 5))
+    values = lambda a, b: lambda root: {s: x[a:b, s] for s in range(5)}
+    calls, plain = [], X.leaf_shares
+    monkeypatch.setattr(X, "leaf_shares", lambda *a: calls.append(1) or plain(*a))
+    shares = X.Shares(trees, [0, 1, 2, 3, 4], 5)
+    first = shares.of(values(0, 30), 30)
+    made = len(calls)
+    second = shares.of(values(30, 60), 30)
+    assert made and len(calls) == made
+    monkeypatch.setattr(X, "MOST_BITS", 1)
+    again = X.Shares(trees, [0, 1, 2, 3, 4], 5).of(values(0, 60), 60)
+    assert again == pytest.approx(np.hstack([first, second]), abs=1e-12)
