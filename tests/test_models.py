@@ -218,3 +218,21 @@ def test_folds_of_an_elimination_are_fitted_side_by_side(data, monkeypatch):
     alone = [T.quality(T.learner("tree", maxDepth=2).fit(data.train.where(F.col("fold") != f)).transform(data.train.where(F.col("fold") == f)))["r2"]
              for f in range(T.FOLDS)]
     assert slots == len(names) == len(keep) and r2 == pytest.approx(np.mean(alone))
+
+
+def test_folds_of_a_search_are_fitted_side_by_side(data, monkeypatch):
+    """The errors and the best model are those of Spark's cross-validation, which takes one fold after the other."""
+    import threading
+
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    ours, kept = T.learner("tree", maxDepth=2), data.train.select("fold", "features", T.TARGET)
+    barrier, fit, begun = threading.Barrier(T.FOLDS), type(ours)._fit, []
+    monkeypatch.setattr(type(ours), "_fit", lambda self, df: (begun.append(df), len(begun) > T.FOLDS or barrier.wait(60), fit(self, df))[2])
+    found = T.search(kept, ours, {"minInstancesPerNode": [1]})
+    monkeypatch.undo()
+    ev = RegressionEvaluator(labelCol=T.TARGET, predictionCol="prediction", metricName="rmse")
+    want = CrossValidator(estimator=ours, estimatorParamMaps=found.getEstimatorParamMaps(), evaluator=ev, foldCol="fold", numFolds=T.FOLDS).fit(kept)
+    assert found.avgMetrics == pytest.approx(want.avgMetrics) and found.stdMetrics == pytest.approx(want.stdMetrics)
+    assert found.bestModel.toDebugString.split("\n")[1:] == want.bestModel.toDebugString.split("\n")[1:]

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
@@ -100,3 +101,53 @@ def test_codes_of_words_need_no_search(monkeypatch):
     monkeypatch.setattr(S.np, "searchsorted", lambda cuts, v: asked.append(len(cuts)) or search(cuts, v))
     assert bins.codes(slots, values).tolist() == want and sorted(asked) == [2, 3]
     assert bins.codes(np.zeros(0, int), np.zeros(0)).tolist() == []
+
+
+def test_fits_on_the_same_rows_write_them_once(rows, monkeypatch):
+    """Points of a grid share bins, blocks and bags; each model is the one that it is alone."""
+    monkeypatch.setattr(S, "DENSE_CELLS", 0)
+    forest = S.SparseForest(labelCol="y", seed=42, featureSubsetStrategy="onethird")
+    points = [{forest.numTrees: n, forest.maxDepth: d} for n, d in ((3, 3), (6, 2))]
+    alone = [shape(forest.copy(p).fit(rows)) for p in points]
+    written, write = [], S.write_blocks
+    monkeypatch.setattr(S, "write_blocks", lambda *a: written.append(a) or write(*a))
+    assert {i: shape(m) for i, m in forest.fitMultiple(rows, points)} == dict(enumerate(alone))
+    assert len(written) == 1
+    part = rows.where("listing_id < 3000")
+    boosting = S.SparseBoosting(labelCol="y", seed=42, maxIter=2, maxDepth=2)
+    alone = shape(boosting.fit(part)), shape(forest.copy(points[0]).fit(part))
+    S.share_rows(part, [boosting, forest.copy(points[0])])
+    del written[:]
+    assert (shape(boosting.fit(part)), shape(forest.copy(points[0]).fit(part))) == alone and len(written) == 1
+
+
+def test_blocks_of_one_task_are_dealt_to_all_cores(spark):
+    """They lay in the file of the task that made them, so that each level's pass read them in one task."""
+    some = VectorAssembler(inputCols=["a"], outputCol="v").transform(spark.range(330_000).coalesce(1).select((F.col("id") % 7).cast("double").alias("a")))
+    bins = S.Bins([np.arange(0.5, 6)])
+    blocks = S.write_blocks(some.select(F.unwrap_udt("v").alias("v"), F.col("a").alias("y")), bins, 1, False, 1)
+    held = [r["sum(rows)"] for r in blocks.groupBy(F.input_file_name()).sum("rows").collect()]
+    assert sum(held) == 330_000 and len(held) == min(9, spark.sparkContext.defaultParallelism) and max(held) < 100_000
+
+
+@pytest.mark.parametrize("longest", [4, 40])
+def test_sums_of_a_block(longest):
+    """Rows of one length lie in a matrix, others one after the other; a few rows at a time add up to the same."""
+    draw = np.random.default_rng(6)
+    lengths = draw.integers(3, 5, 3000)
+    lengths[5] = longest
+    codes = draw.integers(0, 50, lengths.sum())
+    matrix = np.full((3000, 4), 50)
+    if longest == 4:
+        matrix[np.arange(4) < lengths[:, None]] = codes
+    block = S._Block(3000, lengths, codes) if longest > 4 else S._Block(3000, lengths[:0], matrix.ravel())
+    rows, weights = np.sort(draw.choice(3000, 2500, replace=False)), draw.normal(size=3000)
+    node = draw.integers(0, 3, 2500)
+    got = block.sums(rows, node * 51, (weights, np.ones(3000)), 153).reshape(2, 3, 51)[:, :, :50]
+    of = np.repeat(np.arange(3000), lengths)
+    place = np.full(3000, -1)
+    place[rows] = node
+    for values, found in zip((weights, np.ones(3000)), got):
+        for k in range(3):
+            at = place[of] == k
+            assert found[k] == pytest.approx(np.bincount(codes[at], values[of][at], 50))
